@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,71 +70,70 @@ def missing_zones(legs: DataFrame, airports: DataFrame) -> DataFrame:
 
 def attach_zones(legs: DataFrame, airports: DataFrame, strict: bool = True) -> DataFrame:
     """Joins the zone of both ends; in strict mode an unknown airport fails the job."""
+    found = {}
     for end in ("Origin", "Dest"):
-        zone = airports.select(F.col("iata_code").alias(end), F.col("TZ").alias("_tz"))
+        zone = airports.select(F.col("iata_code").alias(end), F.col("TZ").alias(f"TZ_{end}"))
         legs = legs.join(zone, end, "left")
-        found = F.col("_tz")
-        if strict:
-            text = F.concat(F.lit(f"Missing timezone data for {end} "), F.col(end))
-            found = F.when(found.isNull(), F.raise_error(text)).otherwise(found)
-        legs = legs.withColumn(f"TZ_{end}", found).drop("_tz")
-    return legs
+        text = F.concat(F.lit(f"Missing timezone data for {end} "), F.col(end))
+        found[f"TZ_{end}"] = F.coalesce(F.col(f"TZ_{end}"), F.raise_error(text).cast("string"))
+    return legs.withColumns(found) if strict else legs
+
 
+def zone_names(airports: DataFrame) -> list[str]:
+    """Zones of the dimension; there are only a few hundred zone names in the world."""
+    rows = airports.select("TZ").filter("TZ IS NOT NULL").distinct().limit(1000).collect()
+    return sorted(row["TZ"] for row in rows)
 
-def add_timestamps(legs: DataFrame) -> DataFrame:
+
+def add_timestamps(legs: DataFrame, zones: Sequence[str]) -> DataFrame:
     """Local and UTC timestamps of the planned and actual movements."""
-    day, c = F.col("FlightDate"), F.col
+    c = F.col
+    midnight = c("FlightDate").cast("date").cast("timestamp_ntz")
+    # a late departure whose clock time is before the plan left the next day
+    next_day = F.coalesce(((c("DepTime") < c("CRSDepTime")) & (c("DepDelay") > 0)).cast("int"), F.lit(0))
+    local = {
+        "CRSDepDateTime": t.plus_minutes(midnight, c("CRSDepTime")),
+        "DepDateTime": t.plus_minutes(midnight, c("DepTime") + next_day * 1440),
+        "CRSArrDateTime": t.plus_minutes(midnight, c("CRSArrTime")),
+        "ArrDateTime": t.plus_minutes(midnight, c("ArrTime")),
+    }
+    zone = {name: "TZ_Origin" if "Dep" in name else "TZ_Dest" for name in local}
+    legs = legs.withColumns(local)
+    legs = legs.withColumns({f"{n}_UTC": t.to_utc(n, zone[n], zones) for n in local})
     legs = legs.withColumns(
-        {
-            "CRSDepDateTime": t.local_timestamp(day, c("CRSDepTime")),
-            "CRSArrDateTime": t.local_timestamp(day, c("CRSArrTime")),
-            # a late departure whose clock time is before the plan left the next day
-            "DepDateTime": t.local_timestamp(day, c("DepTime"))
-            + t.interval(days=F.coalesce(((c("DepTime") < c("CRSDepTime")) & (c("DepDelay") > 0)).cast("int"), F.lit(0))),
-            "ArrDateTime": t.local_timestamp(day, c("ArrTime")),
-        }
-    )
-    legs = legs.withColumns(
-        {
-            "CRSDepDateTime_UTC": t.to_utc(c("CRSDepDateTime"), c("TZ_Origin")),
-            "CRSArrDateTime_UTC": t.to_utc(c("CRSArrDateTime"), c("TZ_Dest")),
-            "DepDateTime_UTC": t.to_utc(c("DepDateTime"), c("TZ_Origin")),
-            "ArrDateTime_UTC": t.to_utc(c("ArrDateTime"), c("TZ_Dest")),
-        }
+        {f"{n}_UTC": t.leave_gap(f"{n}_UTC", n, zone[n], zones) for n in local}
     )
     # an arrival before its departure belongs to the next day
+    rolled = {"UTC_CRS_FlightDate": F.to_date("CRSDepDateTime_UTC")}
     for plan in ("CRS", ""):
-        over = f"_over{plan}"
-        late = (c(f"{plan}ArrDateTime_UTC") < c(f"{plan}DepDateTime_UTC")).cast("int")
-        legs = legs.withColumn(over, t.interval(days=F.coalesce(late, F.lit(0))))
-        legs = legs.withColumns(
-            {
-                f"{plan}ArrDateTime": c(f"{plan}ArrDateTime") + c(over),
-                f"{plan}ArrDateTime_UTC": c(f"{plan}ArrDateTime_UTC") + c(over),
-            }
-        ).drop(over)
-    return legs.withColumn("UTC_CRS_FlightDate", F.to_date("CRSDepDateTime_UTC"))
+        early = c(f"{plan}ArrDateTime_UTC") < c(f"{plan}DepDateTime_UTC")
+        for name in (f"{plan}ArrDateTime", f"{plan}ArrDateTime_UTC"):
+            rolled[name] = F.when(early, c(name) + t.interval(days=1)).otherwise(c(name))
+    return legs.withColumns(rolled)
 
 
 def add_information_time(legs: DataFrame, hours_before: int = HOURS_BEFORE) -> DataFrame:
     """The moment up to which facts may be used, and the full hour before it."""
     back = t.interval(hours=hours_before)
-    legs = legs.withColumns(
-        {
-            "Information_time_UTC": F.col("CRSDepDateTime_UTC") - back,
-            "Information_time": F.col("CRSDepDateTime") - back,
-        }
-    )
+    utc, local = F.col("CRSDepDateTime_UTC") - back, F.col("CRSDepDateTime") - back
     return legs.withColumns(
         {
-            "floor_informationtime_UTC": t.floor_hour(F.col("Information_time_UTC")),
-            "floor_informationtime": t.floor_hour(F.col("Information_time")),
+            "Information_time_UTC": utc,
+            "Information_time": local,
+            "floor_informationtime_UTC": t.floor_hour(utc),
+            "floor_informationtime": t.floor_hour(local),
         }
     )
 
 
-def clean_legs(raw: DataFrame, airports: DataFrame, hours_before: int = HOURS_BEFORE) -> DataFrame:
+def clean_legs(
+    raw: DataFrame,
+    airports: DataFrame,
+    hours_before: int = HOURS_BEFORE,
+    zones: Sequence[str] | None = None,
+) -> DataFrame:
     """All cleaning steps, one lazy plan without a shuffle of the legs."""
+    zones = zones or zone_names(airports)
     legs = parse_clock_times(drop_lost_legs(raw))
-    legs = add_timestamps(attach_zones(legs, airports))
+    legs = add_timestamps(attach_zones(legs, airports), zones)
     return add_information_time(legs, hours_before)

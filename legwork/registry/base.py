@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legwork.operators import clean
+from legwork.session import apply_defaults
 from legwork.sources import views
 
 
@@ -25,8 +26,7 @@ def query(name: str, sql: str | None = None):
 
     def register(run):
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
+            return run(apply_defaults(spark), sf_dir)
 
         ENTRIES[name] = Entry(prepared, sql)
         return run
@@ -53,7 +53,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned legs over the events table."""
-    return clean.clean_legs(raw(spark, sf_dir), views.airports(spark, sf_dir))
+    return clean.clean_legs(raw(spark, sf_dir), views.airports(spark, sf_dir), zones=views.ZONES)
 
 
 # --- SQL forms ----------------------------------------------------------------------
@@ -64,6 +64,8 @@ _ZONE = (
     "WHEN 2 THEN 'America/Denver' WHEN 3 THEN 'America/Los_Angeles' ELSE 'Pacific/Honolulu' END"
 )
 
+_OFFSET = "CASE {n} WHEN 0 THEN -5 WHEN 1 THEN -6 WHEN 2 THEN -7 WHEN 3 THEN -8 ELSE -10 END"
+
 
 def _hhmm(ts: str) -> str:
     return f"(hour({ts}) * 100 + minute({ts}))"
@@ -97,7 +99,7 @@ SELECT event_id, user_id, k, CAST(floor(value) AS INTEGER) - 30 AS late, date_tr
 FROM ev""",
     "raw1": f"""
 SELECT *, late + k % 21 - 10 AS late_arr, 60 + k AS planned, NOT cancelled AND NOT diverted AS flown,
-  ((dep AT TIME ZONE {_ZONE.format(n='(o % 5)')}) + to_minutes(60 + k)) AT TIME ZONE {_ZONE.format(n='(d % 5)')} AS arr
+  dep + to_minutes(60 + k) + to_hours({_OFFSET.format(n='(d % 5)')} - {_OFFSET.format(n='(o % 5)')}) AS arr
 FROM raw0""",
     "raw": f"""
 SELECT event_id AS FlightID, CAST(year(dep) AS BIGINT) AS "Year", CAST(month(dep) AS BIGINT) AS "Month",

@@ -12,9 +12,19 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM does not compile methods beyond this size; wide projections fall back
+    # to split expression code, which it does compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Sets the defaults on a session that was made elsewhere."""
+    for key, value in DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(app: str = "legwork", cores: str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -22,6 +32,7 @@ def local_session(app: str = "legwork", cores: str = "*", **conf: str) -> SparkS
         **DEFAULTS,
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,

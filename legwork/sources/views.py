@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwork.functions.times import from_utc, plus_minutes, to_utc
-
 # Zones of the stand-in airports, by airport number modulo 5.
 ZONES = [
     "America/New_York",
@@ -15,6 +13,8 @@ ZONES = [
     "America/Los_Angeles",
     "Pacific/Honolulu",
 ]
+# Their winter offsets from UTC; the events lie in January.
+WINTER_OFFSETS = [-5, -6, -7, -8, -10]
 # Airports and airlines the stand-in legs use; the scope lists leave one of each out.
 VIEW_AIRPORTS = [f"A{i}" for i in range(7)]
 VIEW_SCOPE_AIRPORTS = [f"A{i}" for i in range(6)]
@@ -48,6 +48,11 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(*columns)
 
 
+def _case(number: str, values: list) -> str:
+    branches = " ".join(f"WHEN {i} THEN {v!r}" for i, v in enumerate(values))
+    return f"CASE {number} {branches} END"
+
+
 def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw on-time records (the 30 source columns and ``FlightID``), one per event.
 
@@ -55,76 +60,64 @@ def raw_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay. Every 50th leg is cancelled, every 97th diverted, every 211th lacks its
     arrival time, every 101st its tail number.
     """
-    event = F.col("event_id")
-    base = table(spark, sf_dir, "events").select(
-        event.alias("FlightID"),
-        F.col("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (F.floor("value").cast("int") - 30).alias("late"),
-        F.date_trunc("MINUTE", "ts").cast("timestamp_ntz").alias("dep"),
-        (event % 50 == 0).alias("cancelled"),
-        ((event % 97 == 0) & (event % 50 != 0)).alias("diverted"),
-        (event % 211 == 0).alias("lost"),
-        (event % 101 == 0).alias("no_tail"),
-        ((F.col("user_id") + F.when(event % 10 == 0, 1).otherwise(0)) % 5).cast("int").alias("carrier"),
+    drawn = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "user_id",
+        "cast(get_json_object(props, '$.k') as int) AS k",
+        "cast(floor(value) as int) - 30 AS late",
+        "cast(date_trunc('MINUTE', ts) as timestamp_ntz) AS dep",
+        "event_id % 50 = 0 AS cancelled",
+        "event_id % 97 = 0 AND event_id % 50 <> 0 AS diverted",
+        "cast(user_id % 7 as int) AS o",
+        "cast(get_json_object(props, '$.k') as int) % 7 AS d",
     )
-    late_arrival = F.col("late") + F.col("k") % 21 - 10
-    origin, dest = (F.col("user_id") % 7).cast("int"), F.col("k") % 7
-    zone_o, zone_d = _pick(origin % 5, ZONES), _pick(dest % 5, ZONES)
-    flown = ~F.col("cancelled") & ~F.col("diverted")
-    base = base.select(
+    east = f"({_case('d % 5', WINTER_OFFSETS)}) - ({_case('o % 5', WINTER_OFFSETS)})"
+    timed = drawn.selectExpr(
         "*",
-        late_arrival.alias("late_arr"),
-        (F.lit(60) + F.col("k")).alias("planned"),
-        origin.alias("o"),
-        dest.alias("d"),
-        from_utc(
-            plus_minutes(to_utc(F.col("dep"), zone_o), F.lit(60) + F.col("k")), zone_d
-        ).alias("arr"),
-        flown.alias("flown"),
+        "late + k % 21 - 10 AS late_arr",
+        "greatest(late + k % 21 - 10, 0) AS arr_minutes",
+        "60 + k AS planned",
+        "NOT cancelled AND NOT diverted AS flown",
+        f"dep + make_dt_interval(0, {east}, 60 + k) AS arr",
     )
-
-    def hhmm(ts: Column) -> Column:
-        return F.hour(ts) * 100 + F.minute(ts)
-
-    def when(condition: Column, value: Column) -> Column:
-        return F.when(condition, value.cast("double"))
-
-    departed = ~F.col("cancelled")
-    arr_minutes = F.greatest(F.col("late_arr"), F.lit(0))
-    known_reason = F.col("flown") & (F.col("late_arr") >= 15)
-    return base.select(
-        "FlightID",
-        F.year("dep").cast("bigint").alias("Year"),
-        F.month("dep").cast("bigint").alias("Month"),
-        F.dayofmonth("dep").cast("bigint").alias("DayofMonth"),
-        (F.weekday("dep") + 1).cast("bigint").alias("DayOfWeek"),
-        F.date_format("dep", "yyyy-MM-dd").alias("FlightDate"),
-        F.concat(F.lit("C"), F.col("carrier")).alias("Reporting_Airline"),
-        F.when(~F.col("no_tail"), F.concat(F.lit("N"), F.col("user_id"))).alias("Tail_Number"),
-        ((F.col("user_id") % 50) * 4 + F.col("k") % 4).cast("bigint").alias("Flight_Number_Reporting_Airline"),
-        F.concat(F.lit("A"), F.col("o")).alias("Origin"),
-        F.concat(F.lit("A"), F.col("d")).alias("Dest"),
-        hhmm(F.col("dep")).cast("bigint").alias("CRSDepTime"),
-        when(departed, hhmm(plus_minutes(F.col("dep"), F.col("late")))).alias("DepTime"),
-        when(departed, F.col("late")).alias("DepDelay"),
-        when(departed, F.greatest(F.col("late"), F.lit(0))).alias("DepDelayMinutes"),
-        hhmm(F.col("arr")).cast("bigint").alias("CRSArrTime"),
-        when(F.col("flown") & ~F.col("lost"), hhmm(plus_minutes(F.col("arr"), F.col("late_arr")))).alias("ArrTime"),
-        when(F.col("flown"), F.col("late_arr")).alias("ArrDelay"),
-        when(F.col("flown"), arr_minutes).alias("ArrDelayMinutes"),
-        F.col("cancelled").cast("double").alias("Cancelled"),
-        F.col("diverted").cast("double").alias("Diverted"),
-        F.col("planned").cast("double").alias("CRSElapsedTime"),
-        when(F.col("flown"), F.col("planned") + F.col("late_arr") - F.col("late")).alias("ActualElapsedTime"),
-        when(F.col("flown"), F.col("planned") - 25).alias("AirTime"),
-        (F.lit(100) + F.col("k") * 10).cast("double").alias("Distance"),
-        (F.floor(F.col("k") / 25) + 1).cast("bigint").alias("DistanceGroup"),
-        when(known_reason, arr_minutes - F.floor(arr_minutes / 2)).alias("CarrierDelay"),
-        when(known_reason, F.when(F.col("k") % 3 == 0, F.floor(arr_minutes / 4)).otherwise(0)).alias("WeatherDelay"),
-        when(known_reason, F.when(F.col("k") % 3 == 1, F.floor(arr_minutes / 5)).otherwise(0)).alias("NASDelay"),
-        when(known_reason, F.lit(0)).alias("SecurityDelay"),
-        when(known_reason, F.when(F.col("k") % 3 == 2, F.floor(arr_minutes / 3)).otherwise(0)).alias("LateAircraftDelay"),
+    clocked = timed.selectExpr(
+        "*",
+        "dep + make_dt_interval(0, 0, late) AS dep_real",
+        "arr + make_dt_interval(0, 0, late_arr) AS arr_real",
+        "flown AND late_arr >= 15 AS explained",
+    )
+    return clocked.selectExpr(
+        "event_id AS FlightID",
+        "bigint(year(dep)) AS Year",
+        "bigint(month(dep)) AS Month",
+        "bigint(dayofmonth(dep)) AS DayofMonth",
+        "bigint(weekday(dep) + 1) AS DayOfWeek",
+        "string(date(dep)) AS FlightDate",
+        "concat('C', string((user_id + if(event_id % 10 = 0, 1, 0)) % 5)) AS Reporting_Airline",
+        "if(event_id % 101 <> 0, concat('N', string(user_id)), null) AS Tail_Number",
+        "(user_id % 50) * 4 + k % 4 AS Flight_Number_Reporting_Airline",
+        "concat('A', string(o)) AS Origin",
+        "concat('A', string(d)) AS Dest",
+        "bigint(hour(dep) * 100 + minute(dep)) AS CRSDepTime",
+        "if(cancelled, null, double(hour(dep_real) * 100 + minute(dep_real))) AS DepTime",
+        "if(cancelled, null, double(late)) AS DepDelay",
+        "if(cancelled, null, double(greatest(late, 0))) AS DepDelayMinutes",
+        "bigint(hour(arr) * 100 + minute(arr)) AS CRSArrTime",
+        "if(flown AND event_id % 211 <> 0, double(hour(arr_real) * 100 + minute(arr_real)), null) AS ArrTime",
+        "if(flown, double(late_arr), null) AS ArrDelay",
+        "if(flown, double(arr_minutes), null) AS ArrDelayMinutes",
+        "double(int(cancelled)) AS Cancelled",
+        "double(int(diverted)) AS Diverted",
+        "double(planned) AS CRSElapsedTime",
+        "if(flown, double(planned + late_arr - late), null) AS ActualElapsedTime",
+        "if(flown, double(planned - 25), null) AS AirTime",
+        "double(100 + k * 10) AS Distance",
+        "bigint(k div 25 + 1) AS DistanceGroup",
+        "if(explained, double(arr_minutes - arr_minutes div 2), null) AS CarrierDelay",
+        "if(explained, double(if(k % 3 = 0, arr_minutes div 4, 0)), null) AS WeatherDelay",
+        "if(explained, double(if(k % 3 = 1, arr_minutes div 5, 0)), null) AS NASDelay",
+        "if(explained, 0D, null) AS SecurityDelay",
+        "if(explained, double(if(k % 3 = 2, arr_minutes div 3, 0)), null) AS LateAircraftDelay",
     )
 
 
