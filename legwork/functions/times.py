@@ -76,8 +76,8 @@ def floor_hour(ts: Column) -> Column:
 
 def ceil_hour(ts: Column) -> Column:
     """The next full hour; an exact hour stays."""
-    mark = floor_hour(ts)
-    return F.when(mark == ts, mark).otherwise(mark + interval(hours=1))
+    almost_an_hour = F.make_dt_interval(mins=F.lit(59), secs=F.lit(59.999999).cast("decimal(18,6)"))
+    return F.date_trunc("HOUR", ts + almost_an_hour).cast("timestamp_ntz")
 
 
 def minute_of_day(ts: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -9,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legwork.operators import clean
-from legwork.session import apply_defaults
-from legwork.sources import views
+from legwork.session import apply_defaults, shared_dir
+from legwork.sources import sinks, views
+from legwork.sources.tables import path_exists
 
 
 class Entry(NamedTuple):
@@ -51,8 +53,23 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.raw_legs(spark, sf_dir)
 
 
+def staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table of year and month folders in the shared folder, built on first use in a session."""
+    source = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/legwork/{app}/{source}/{name}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        sinks.write_legs(build(), path)
+    return sinks.read_legs(spark, path)
+
+
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned legs over the events table."""
+    """Cleaned legs, read from the table that the cleaning job writes."""
+    return staged(spark, sf_dir, "clean_legs", lambda: fresh_legs(spark, sf_dir))
+
+
+def fresh_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned legs straight from the events table."""
     return clean.clean_legs(raw(spark, sf_dir), views.airports(spark, sf_dir), zones=views.ZONES)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from legwork.functions import scalars as s
 from legwork.functions import times as t
 from legwork.operators import clean, target
-from legwork.registry.base import TS, day_text, legs, query, raw, sql, text
+from legwork.registry.base import TS, day_text, fresh_legs, legs, query, raw, sql, text
 from legwork.sources import views
 
 
@@ -47,7 +47,7 @@ SELECT FlightID, strftime(CRSDepDateTime_UTC, {TS}) AS crs_dep_utc, strftime(Dep
   strftime(UTC_CRS_FlightDate, '%Y-%m-%d') AS utc_day
 FROM legs"""))
 def local_to_utc(spark, d):
-    return legs(spark, d).select(
+    return fresh_legs(spark, d).select(
         "FlightID",
         text("CRSDepDateTime_UTC").alias("crs_dep_utc"), text("DepDateTime_UTC").alias("dep_utc"),
         text("CRSArrDateTime_UTC").alias("crs_arr_utc"), text("ArrDateTime_UTC").alias("arr_utc"),
@@ -63,7 +63,7 @@ SELECT FlightID, strftime(Information_time_UTC, {TS}) AS info_utc, strftime(floo
   CAST(dayofyear(CRSDepDateTime) AS INTEGER) AS day_of_year, CAST(hour(CRSDepDateTime) AS INTEGER) AS dep_hour
 FROM legs"""))
 def info_hour(spark, d):
-    return legs(spark, d).select(
+    return fresh_legs(spark, d).select(
         "FlightID",
         text("Information_time_UTC").alias("info_utc"), text("floor_informationtime_UTC").alias("hour_utc"),
         text("Information_time").alias("info_local"), text("floor_informationtime").alias("hour_local"),
