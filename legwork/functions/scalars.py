@@ -57,7 +57,7 @@ def rate(count: Column, rows: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for text of nothing but white space."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "") == ""
+    return F.rlike(text, F.lit(r"(?U)\A\s*\z"))
 
 
 def is_infinite(number: Column) -> Column:
