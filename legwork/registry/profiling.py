@@ -169,17 +169,17 @@ def hist2d(spark, d):
 
 
 @query("density_points", sql(["legs"], """
-SELECT FlightID, round(density, 6) AS density FROM placed JOIN smooth USING (bx, by)""",
+SELECT FlightID, round(density, 6) AS density FROM placed JOIN smooth USING (gx, gy)""",
     edges="SELECT min(Distance) AS x0, max(Distance) AS x1, min(ArrDelayMinutes) AS y0, max(ArrDelayMinutes) AS y1 FROM legs WHERE ArrDelayMinutes IS NOT NULL",
     placed="""
-SELECT FlightID, least(CAST(floor((Distance - x0) * 100 / (x1 - x0)) AS INTEGER), 99) AS bx,
-  least(CAST(floor((ArrDelayMinutes - y0) * 100 / (y1 - y0)) AS INTEGER), 99) AS by
+SELECT FlightID, least(CAST(floor((Distance - x0) * 100 / (x1 - x0)) AS INTEGER), 99) AS gx,
+  least(CAST(floor((ArrDelayMinutes - y0) * 100 / (y1 - y0)) AS INTEGER), 99) AS gy
 FROM legs, edges WHERE ArrDelayMinutes IS NOT NULL""",
-    cells="SELECT bx, by, count(*) AS c FROM placed GROUP BY ALL",
+    cells="SELECT gx, gy, count(*) AS c FROM placed GROUP BY ALL",
     kernel="SELECT j, exp(-0.5 * (j / 3.0) ** 2) / (SELECT sum(exp(-0.5 * (i / 3.0) ** 2)) FROM range(-12, 13) t(i)) AS w FROM range(-12, 13) k(j)",
     axis="SELECT t, CASE WHEN t + j < 0 THEN -(t + j) - 1 WHEN t + j > 99 THEN 199 - (t + j) ELSE t + j END AS src, w FROM range(100) r(t), kernel",
-    pass1="SELECT a.t AS bx, c.by, sum(c.c * a.w) AS v FROM cells c JOIN axis a ON a.src = c.bx GROUP BY ALL",
-    smooth="SELECT p.bx, a.t AS by, sum(p.v * a.w) AS density FROM pass1 p JOIN axis a ON a.src = p.by GROUP BY ALL"))
+    pass1="SELECT a.t AS gx, c.gy, sum(c.c * a.w) AS v FROM cells c JOIN axis a ON a.src = c.gx GROUP BY ALL",
+    smooth="SELECT p.gx, a.t AS gy, sum(p.v * a.w) AS density FROM pass1 p JOIN axis a ON a.src = p.gy GROUP BY ALL"))
 def density_points(spark, d):
     rows = legs(spark, d).select("FlightID", "Distance", "ArrDelayMinutes")
     found = profile.point_density(rows, "Distance", "ArrDelayMinutes")
