@@ -292,21 +292,17 @@ def histogram_2d(
 def _blur(cells: DataFrame, axis: str, other: str, bins: int, sigma: float) -> DataFrame:
     """One pass of a Gaussian blur along ``axis`` with mirrored borders."""
     radius = int(4 * sigma + 0.5)
-    weights = [math.exp(-0.5 * (j / sigma) ** 2) for j in range(-radius, radius + 1)]
-    total = sum(weights)
-    kernel = F.array(
-        *[F.struct(F.lit(j).alias("j"), F.lit(w / total).alias("w")) for j, w in zip(range(-radius, radius + 1), weights)]
-    )
-    place = F.col(axis)
+    total = sum(math.exp(-0.5 * (j / sigma) ** 2) for j in range(-radius, radius + 1))
+    place, step = F.col(axis), F.col("_step")
     images = F.array(place, -place - 1, F.lit(2 * bins - 1) - place)
-    spread = cells.select(other, "value", F.explode(images).alias("_image")).select(
-        other, "value", "_image", F.inline(kernel)
-    )
-    target = F.col("_image") - F.col("j")
+    weight = F.exp(-0.5 * F.pow(step / sigma, F.lit(2))) / total
+    target = F.col("_image") - step
     return (
-        spread.filter((target >= 0) & (target < bins))
+        cells.select(other, "value", F.explode(images).alias("_image"))
+        .select("*", F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("_step"))
+        .filter((target >= 0) & (target < bins))
         .groupBy(target.cast("int").alias(axis), other)
-        .agg(F.sum(F.col("value") * F.col("w")).alias("value"))
+        .agg(F.sum(F.col("value") * weight).alias("value"))
     )
 
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from legwork.session import cut_lineage
+
 
 def _before(keys: Sequence[str], order: list) -> "Window":
     return (
@@ -95,8 +97,8 @@ def cut_rows(
     """The order values found at given positions of each key.
 
     ``targets`` maps a name to a position written over the column ``n``, the number of
-    rows of the key. The result has one row per key and name. A position outside
-    the key yields no row. Only rows of a cell that holds a target are looked at
+    rows of the key. The result has one row per key and name, and is computed at once.
+    A position outside the key yields no row. Only rows of a cell that holds a target are looked at
     again, so no step ranks the whole table.
     """
     keys = list(keys)
@@ -127,6 +129,8 @@ def cut_rows(
         wanted = counted.filter(
             (F.col("rest") >= F.col("_off")) & (F.col("rest") < F.col("_off") + F.col("_c"))
         ).select(*group, "cut", (F.col("rest") - F.col("_off")).alias("rest"))
+        # one row per key and target; the next level reads it twice
+        wanted = cut_lineage(wanted)
     rows = tagged.join(wanted.select(*group).distinct(), group, "left_semi")
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
     ranked = rows.withColumn("_rank", rank.cast("bigint"))

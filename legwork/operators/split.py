@@ -13,19 +13,35 @@ from pyspark.sql import functions as F
 
 from legwork.functions.scalars import hash32
 from legwork.operators.ranking import cut_rows
+from legwork.session import cut_lineage
 
 
 def _time_levels(time_column: str, id_column: str) -> list[Column]:
     return [F.date_trunc("HOUR", time_column), F.col(time_column), F.floor(F.col(id_column) / 65536)]
 
 
-def _time_cuts(df: DataFrame, time_column: str, id_column: str, targets: dict[str, Column]) -> Column:
-    """(time, id) at every target position as one scalar struct."""
+def _time_cuts(df: DataFrame, time_column: str, id_column: str, targets: dict[str, Column]) -> dict[str, Column]:
+    """(time, id) at every target position, as literals: one row per target is fetched.
+
+    A position past the last row has no literal and compares as later than every row.
+    """
     order = [time_column, id_column]
     cuts = cut_rows(df.select(*order), [], _time_levels(time_column, id_column), order, targets)
-    return cuts.agg(
-        F.struct(*[F.max(F.when(F.col("cut") == t, F.struct(*order))).alias(t) for t in targets])
-    ).scalar()
+    found = {row["cut"]: row for row in cuts.collect()}
+    kinds = [df.schema[c].dataType for c in order]
+    return {
+        t: F.struct(*[F.lit(found[t][c]).cast(k).alias(c) for c, k in zip(order, kinds)])
+        for t in targets
+        if t in found
+    }
+
+
+def _before(df: DataFrame, time_column: str, id_column: str, cut: Column | None) -> Column:
+    if cut is None:
+        return F.lit(True)
+    # the plain comparison on time can reach the scan, the id decides within one moment
+    time, row_id = F.col(time_column), F.col(id_column)
+    return (time < cut[time_column]) | ((time == cut[time_column]) & (row_id < cut[id_column]))
 
 
 def check_shares(train_size: float, val_size: float) -> None:
@@ -54,10 +70,11 @@ def chronological_split(
         id_column,
         {"validation": F.floor(n * F.lit(train_size)), "test": F.floor(n * F.lit(train_size + val_size))},
     )
-    here = F.struct(time_column, id_column)
+    def before(cut: str) -> Column:
+        return _before(df, time_column, id_column, cuts.get(cut))
+
     return df.withColumn(
-        name,
-        F.when(here < cuts["validation"], "train").when(here < cuts["test"], "validation").otherwise("test"),
+        name, F.when(before("validation"), "train").when(before("test"), "validation").otherwise("test")
     )
 
 
@@ -76,10 +93,9 @@ def time_folds(df: DataFrame, time_column: str, id_column: str, folds: int, name
     size = F.floor(F.col("n") / (folds + 1))
     starts = {f"b{i}": F.col("n") - size * (folds - i + 1) for i in range(1, folds + 1)}
     cuts = _time_cuts(df, time_column, id_column, starts)
-    here = F.struct(time_column, id_column)
-    block = F.lit(0)
-    for i in range(1, folds + 1):
-        block = F.when(here >= cuts[f"b{i}"], F.lit(i)).otherwise(block)
+    block = F.lit(folds)
+    for i in range(folds, 0, -1):
+        block = F.when(_before(df, time_column, id_column, cuts.get(f"b{i}")), F.lit(i - 1)).otherwise(block)
     return df.withColumn(name, block)
 
 
@@ -87,7 +103,7 @@ def _class_cuts(df: DataFrame, label: str, id_column: str, targets: dict[str, Co
     """Per class the (hash, id) at the target positions; one row per class."""
     hashed = df.select(label, hash32(F.col(id_column)).alias("_h"), F.col(id_column).alias("_id"))
     levels = [F.floor(F.col("_h") / 1048576), F.col("_h")]
-    cuts = cut_rows(hashed, [label], levels, ["_h", "_id"], targets)
+    cuts = cut_lineage(cut_rows(hashed, [label], levels, ["_h", "_id"], targets))
     return cuts.groupBy(label).agg(
         *[F.max(F.when(F.col("cut") == t, F.struct("_h", "_id"))).alias(f"_cut_{t}") for t in targets]
     )

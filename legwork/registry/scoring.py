@@ -161,7 +161,7 @@ _RUN_STATS = _stats("scored3", ["model_name", "run_id", "split"])
 
 
 @query("overfit_gaps", sql(["scored3"], """
-SELECT run_id, 'train_minus_' || s.split || '_' || t.metric AS gap, round(t.value - s.value, 6) AS value
+SELECT t.run_id, 'train_minus_' || s.split || '_' || t.metric AS gap, round(t.value - s.value, 6) AS value
 FROM long t JOIN long s ON s.run_id = t.run_id AND s.metric = t.metric AND t.split = 'train' AND s.split <> 'train'
 WHERE t.value IS NOT NULL AND s.value IS NOT NULL""", stats=_RUN_STATS, heads=_RUN_HEAD,
     long=f"UNPIVOT heads ON {', '.join(_NAMES)} INTO NAME metric VALUE value"))
