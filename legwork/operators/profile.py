@@ -242,20 +242,22 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     return shared if top is None else shared.orderBy(F.desc("rows"), column).limit(top)
 
 
-def _edges(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Lower edge and width source per column; a constant column gets a unit interval."""
-    fields = []
+def _edges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Range of each column, fetched as one row; a constant column gets a unit interval."""
+    row = df.agg(
+        *[F.min(c).cast("double").alias(f"lo_{c}") for c in columns],
+        *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns],
+    ).first()
+    ranges = {}
     for c in columns:
-        lo, hi = F.min(c).cast("double"), F.max(c).cast("double")
-        fields += [
-            F.when(hi > lo, lo).otherwise(lo - 0.5).alias(f"lo_{c}"),
-            F.when(hi > lo, hi).otherwise(hi + 0.5).alias(f"hi_{c}"),
-        ]
-    return df.agg(F.struct(*fields)).scalar()
+        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
+        lo, hi = (0.0, 1.0) if lo is None else (lo, hi)
+        ranges[c] = (lo, hi) if hi > lo else (lo - 0.5, hi + 0.5)
+    return ranges
 
 
-def _bin(column: str, edges: Column, bins: int) -> Column:
-    lo, hi = edges[f"lo_{column}"], edges[f"hi_{column}"]
+def _bin(column: str, edges: dict[str, tuple[float, float]], bins: int) -> Column:
+    lo, hi = edges[column]
     place = F.floor((F.col(column) - lo) * bins / (hi - lo)).cast("int")
     return F.least(place, F.lit(bins - 1))
 
@@ -266,10 +268,10 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     edges = _edges(rows, [column])
     counts = rows.groupBy(_bin(column, edges, bins).alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
     all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (edges[f"hi_{column}"] - edges[f"lo_{column}"]) / bins
+    lo, hi = edges[column]
     return all_bins.join(counts, "bin", "left").select(
         "bin",
-        (edges[f"lo_{column}"] + F.col("bin") * width).alias("left_edge"),
+        (F.lit(lo) + F.col("bin") * ((hi - lo) / bins)).alias("left_edge"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 

@@ -34,15 +34,8 @@ def fit_scaler(train: DataFrame, columns: Sequence[str], kind: str = "minmax", w
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(x - center) / width with the fitted values, read once as a scalar."""
-    fitted = params.agg(
-        F.struct(
-            *[
-                F.max(F.when(F.col("column") == c, F.struct("center", "width"))).alias(c)
-                for c in columns
-            ]
-        )
-    ).scalar()
+    """(x - center) / width; the fitted numbers (one row per column) become literals."""
+    fitted = {row["column"]: row for row in params.filter(F.col("column").isin(list(columns))).collect()}
     return df.withColumns(
         {c: (F.col(c).cast("double") - fitted[c]["center"]) / fitted[c]["width"] for c in columns}
     )

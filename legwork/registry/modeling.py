@@ -1 +1,120 @@
-"""Pending."""
+"""Feature table, model fits and the search over them."""
+
+from pyspark.sql import functions as F
+
+from legwork.operators import evaluate
+from legwork.plans import features, models, training, tuning
+from legwork.registry.base import legs, query, staged
+from legwork.schemas import DELAY_CLASSES
+from legwork.sources import views
+
+
+def build_features(spark, d):
+    return features.feature_table(
+        legs(spark, d), views.airports(spark, d), views.station_weather(spark, d),
+        views.VIEW_SCOPE_AIRPORTS, min_year=2014, keep_keys=True,
+    )
+
+
+def feature_rows(spark, d):
+    """The feature table, read from the table that the feature job writes."""
+    return staged(spark, d, "features", lambda: build_features(spark, d))
+
+
+@query("feature_table")
+def feature_table(spark, d):
+    return build_features(spark, d)
+
+
+def _prepared(spark, d):
+    return training.prepare(feature_rows(spark, d), training.TrainingConfig())
+
+
+def _scores(spark, d, name, **params):
+    scored, _ = training.predict(_prepared(spark, d), name, **params)
+    metrics = training.split_metrics(scored, name, name)
+    return metrics.select("model_name", "split", "metric", F.round("value", 6).alias("value"))
+
+
+@query("model_dummy")
+def model_dummy(spark, d):
+    return _scores(spark, d, "dummy")
+
+
+@query("model_rule")
+def model_rule(spark, d):
+    return _scores(spark, d, "Baseline")
+
+
+@query("logreg")
+def logreg(spark, d):
+    return _scores(spark, d, "logistic_regression", maxIter=50)
+
+
+@query("logreg_scaled")
+def logreg_scaled(spark, d):
+    return _scores(spark, d, "logistic_regression_pipeline", maxIter=50)
+
+
+@query("forest")
+def forest(spark, d):
+    return _scores(spark, d, "random_forest", numTrees=20, maxDepth=10)
+
+
+@query("boosted")
+def boosted(spark, d):
+    return _scores(spark, d, "hist_gradient_boosting", maxIter=5, maxDepth=4)
+
+
+@query("bayes")
+def bayes(spark, d):
+    return _scores(spark, d, "naive_bayes")
+
+
+@query("svc_linear")
+def svc_linear(spark, d):
+    return _scores(spark, d, "svc", maxIter=20)
+
+
+@query("mlp")
+def mlp(spark, d):
+    return _scores(spark, d, "neural_network", hidden=(64, 32), maxIter=30)
+
+
+@query("tree")
+def tree(spark, d):
+    return _scores(spark, d, "decision_tree", maxDepth=10)
+
+
+@query("importances")
+def importances(spark, d):
+    prepared = _prepared(spark, d)
+    model = training.fit_model(prepared, "random_forest", numTrees=20, maxDepth=8)
+    return models.feature_importances(spark, model, prepared.names, 30)
+
+
+@query("model_comparison")
+def model_comparison(spark, d):
+    names = ["logistic_regression", "naive_bayes", "decision_tree"]
+    limits = {"logistic_regression": {"maxIter": 30}, "decision_tree": {"maxDepth": 8}}
+    return training.compare_models(_prepared(spark, d), names, limits)
+
+
+@query("model_auc")
+def model_auc(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    scored, _ = training.predict(_prepared(spark, d), "naive_bayes")
+    shares = vector_to_array("probability")
+    test = scored.filter("split = 'test'").select(
+        F.col("label").cast("int").alias("label"), *[shares[c].alias(f"p{c}") for c in range(len(DELAY_CLASSES))])
+    return evaluate.roc_auc_ovr(test, "label", {c: F.col(f"p{c}") for c in range(len(DELAY_CLASSES))})
+
+
+@query("random_search")
+def random_search(spark, d):
+    rows = feature_rows(spark, d)
+    return tuning.random_search(
+        _prepared(spark, d), "logistic_regression", rows, "CRSDepDateTime_UTC", "FlightID",
+        n_iter=3, folds=3, fixed={"maxIter": 20},
+    )
