@@ -75,8 +75,8 @@ def data_years(df: DataFrame, day: str) -> DataFrame:
     return span.select(F.explode(F.sequence("lo", "hi")).alias("year"))
 
 
-def add_holidays(df: DataFrame, day: str = "FlightDate") -> DataFrame:
-    """Adds ``IsHoliday`` and ``DaysToNearestHoliday``.
+def holiday_distances(df: DataFrame, day: str = "FlightDate") -> DataFrame:
+    """``DaysToNearestHoliday`` of every distinct day of the table.
 
     The holidays of the data years (about a dozen a year) form one array that is compared
     with each distinct day, not with each row.
@@ -84,7 +84,12 @@ def add_holidays(df: DataFrame, day: str = "FlightDate") -> DataFrame:
     listed = holidays(data_years(df, day)).agg(F.sort_array(F.collect_set("day"))).scalar()
     days = df.filter(F.col(day).isNotNull()).select(day).distinct()
     away = F.array_min(F.transform(F.col("_list"), lambda h: F.abs(F.datediff(h, F.to_date(day)))))
-    known = days.withColumn("_list", listed).select(day, away.alias("DaysToNearestHoliday"))
+    return days.withColumn("_list", listed).select(day, away.alias("DaysToNearestHoliday"))
+
+
+def add_holidays(df: DataFrame, day: str = "FlightDate", known: DataFrame | None = None) -> DataFrame:
+    """Adds ``IsHoliday`` and ``DaysToNearestHoliday``."""
+    known = holiday_distances(df, day) if known is None else known
     return df.join(known, day, "left").withColumn(
         "IsHoliday", F.coalesce((F.col("DaysToNearestHoliday") == 0).cast("int"), F.lit(0))
     )

@@ -57,8 +57,10 @@ def attach_daily(legs: DataFrame, daily: DataFrame, group: str | None, columns:
     return joined.fillna(0.0, subset=columns)
 
 
-def add_group_history(legs: DataFrame, group: str | None, prefix: str, lags: bool = True) -> DataFrame:
-    """History and lags of one grouping from one daily table and one join."""
+def group_history(
+    legs: DataFrame, group: str | None, prefix: str, lags: bool = True
+) -> tuple[DataFrame, list[str]]:
+    """Daily history and lag columns of one grouping, and their names."""
     daily = daily_mean(legs, group)
     columns = []
     if group is not None:
@@ -67,6 +69,12 @@ def add_group_history(legs: DataFrame, group: str | None, prefix: str, lags: boo
     if lags:
         daily = add_day_lags(daily, group, prefix)
         columns += [f"{prefix}_yesterday_delay", f"{prefix}_lastweek_delay"]
+    return daily, columns
+
+
+def add_group_history(legs: DataFrame, group: str | None, prefix: str, lags: bool = True) -> DataFrame:
+    """History and lags of one grouping from one daily table and one join."""
+    daily, columns = group_history(legs, group, prefix, lags)
     return attach_daily(legs, daily, group, columns)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from legwork import schemas
 from legwork.operators import calendar, chain, clean, history, state, weather
+from legwork.session import cut_to_table
 
 
 def feature_table(
@@ -21,21 +22,36 @@ def feature_table(
 ) -> DataFrame:
     """All features of the completed legs between listed airports.
 
-    State and chain see every cleaned leg; history and lags see the completed ones only.
-    With ``keep_keys`` the leg id and day stay in the table.
+    ``legs`` should be a stored table. State and chain see every cleaned leg; history and
+    lags see the completed ones only. The chained legs are written once in between,
+    because every lookup table below is derived from them. With ``keep_keys`` the leg
+    id and day stay in the table.
     """
-    dated = legs.withColumn("DayOfYear", F.dayofyear("CRSDepDateTime"))
-    with_state = state.attach_state(dated, state.airport_state(legs, min_year))
-    chained = chain.add_chain(with_state)
-    rows = clean.training_rows(chained, list(scope), min_year)
-    rows = calendar.add_holidays(rows)
-    series = weather.airport_weather(rows, airports.filter(F.col("iata_code").isin(list(scope))), readings)
+    chained = cut_to_table(chain.add_chain(legs), "chained")
+    known = airports.filter(F.col("iata_code").isin(list(scope))).select("iata_code")
+    base = clean.training_rows(chained, list(scope), min_year)
+    for end in ("Origin", "Dest"):
+        base = base.join(known.withColumnRenamed("iata_code", end), end, "left_semi")
+
+    # lookup tables, each an aggregate of a few columns of the base rows
+    series = weather.airport_weather(base, airports.join(known, "iata_code"), readings)
+    groups = {"airline": "Reporting_Airline", "origin": "Origin", "dest": "Dest", "global": None}
+    daily = {prefix: (group, *history.group_history(base, group, prefix)) for prefix, group in groups.items()}
+    flight = history.add_flight_history(
+        base.select(
+            "FlightID", "FlightDate", "CRSDepDateTime_UTC", "Reporting_Airline",
+            "Flight_Number_Reporting_Airline", schemas.DELAY_COLUMN,
+        )
+    ).select("FlightID", *history.FLIGHT_HISTORY)
+
+    rows = state.attach_state(base, state.airport_state(legs, min_year))
+    rows = calendar.add_holidays(rows, known=calendar.holiday_distances(base))
     rows = weather.attach_weather(rows, series)
-    rows = rows.withColumn("dep_hour", F.hour("CRSDepDateTime"))
-    rows = history.add_group_history(rows, "Reporting_Airline", "airline")
-    rows = history.add_group_history(rows, "Origin", "origin")
-    rows = history.add_group_history(rows, "Dest", "dest")
-    rows = history.add_group_history(rows, None, "global")
-    rows = history.add_flight_history(rows)
+    for group, table, columns in daily.values():
+        rows = history.attach_daily(rows, table, group, columns)
+    rows = rows.join(flight, "FlightID", "left").fillna(0.0, subset=history.FLIGHT_HISTORY)
+    rows = rows.withColumns(
+        {"DayOfYear": F.dayofyear("CRSDepDateTime"), "dep_hour": F.hour("CRSDepDateTime")}
+    )
     dropped = [c for c in schemas.FEATURE_TABLE_DROPS if not (keep_keys and c in ("FlightID", "FlightDate"))]
     return rows.drop(*dropped)

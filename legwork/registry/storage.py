@@ -1 +1,102 @@
-"""Pending."""
+"""Readers and writers, checked by reading back what was written."""
+
+from pyspark.sql import functions as F
+
+from legwork.plans import training
+from legwork.registry.base import query, raw, sql
+from legwork.registry.modeling import feature_rows
+from legwork.schemas import RAW_LEG_TYPES
+from legwork.session import scratch_path
+from legwork.sources import runs, sinks, tables, views
+
+_COLS = ", ".join(f'"{c}"' for c in RAW_LEG_TYPES)
+
+
+@query("csv_roundtrip", sql(["raw"], f"SELECT {_COLS} FROM raw"))
+def csv_roundtrip(spark, d):
+    path = sinks.write_csv(raw(spark, d).drop("FlightID"), scratch_path(spark, "raw") + ".csv")
+    return tables.read_raw_csv(spark, [path])
+
+
+@query("month_scan", sql(["raw"], """
+SELECT "Year", "Month", CAST(count(*) AS BIGINT) AS legs, CAST(sum(Distance) AS BIGINT) AS distance FROM raw GROUP BY ALL"""))
+def month_scan(spark, d):
+    root = scratch_path(spark, "months")
+    rows = raw(spark, d).drop("FlightID")
+    for month in (1, 2):  # one file per month of the source; the others are absent and skipped
+        part = rows.filter((F.col("Year") == 2024) & (F.col("Month") == month))
+        sinks.write_csv(part, tables.month_paths(root, [2024], [month])[0])
+    found = tables.read_months(spark, root, [2023, 2024])
+    return found.groupBy("Year", "Month").agg(
+        F.count(F.lit(1)).alias("legs"), F.sum("Distance").cast("bigint").alias("distance"))
+
+
+@query("monthly_copy", sql(["raw"], """
+SELECT CAST("Year" AS INTEGER) AS "Year", CAST("Month" AS INTEGER) AS "Month", CAST(count(*) AS BIGINT) AS legs, CAST(count(ArrTime) AS BIGINT) AS arrived FROM raw GROUP BY ALL"""))
+def monthly_copy(spark, d):
+    path = sinks.copy_raw_months(raw(spark, d).drop("FlightID"), scratch_path(spark, "copy"))
+    return spark.read.option("header", True).csv(path).groupBy("Year", "Month").agg(
+        F.count(F.lit(1)).alias("legs"), F.count("ArrTime").alias("arrived"))
+
+
+@query("scan_by_suffix", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def scan_by_suffix(spark, d):
+    customer = tables.read_table(spark, f"{d}/customer.parquet")
+    path = sinks.write_csv(customer, scratch_path(spark, "customer") + ".tsv", sep="\t")
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    return tables.read_table(spark, path, schema)
+
+
+@query("message_text", """
+SELECT user_id AS src, CAST(json_extract_string(props, '$.k') AS BIGINT) AS dst, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS unix_ts FROM events""")
+def message_text(spark, d):
+    path = scratch_path(spark, "messages")
+    views.messages(spark, d).write.option("sep", " ").csv(path)
+    return tables.read_messages(spark, path)
+
+
+@query("edge_csv", "SELECT user_id AS src_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS target_id FROM events")
+def edge_csv(spark, d):
+    path = sinks.write_csv(views.edges(spark, d), scratch_path(spark, "edges"))
+    nodes = sinks.write_csv(views.nodes(spark, d), scratch_path(spark, "nodes"))
+    return tables.read_graph(spark, path, nodes)[0]
+
+
+@query("station_columns", sql(["airport_dim"], """
+SELECT iata_code, airport_station, closest_station_1, CAST(closest_station_1_distance AS DOUBLE) AS closest_station_1_distance, closest_station_2,
+  CAST(closest_station_2_distance AS DOUBLE) AS closest_station_2_distance, closest_station_3, CAST(closest_station_3_distance AS DOUBLE) AS closest_station_3_distance FROM airport_dim"""))
+def station_columns(spark, d):
+    from legwork.operators import weather
+    return weather.station_columns(views.airports(spark, d))
+
+
+@query("preview")
+def preview(spark, d):
+    return tables.preview(views.table(spark, d, "events"), 1000)
+
+
+@query("json_rows")
+def json_rows(spark, d):
+    nation = views.table(spark, d, "nation")
+    return nation.select("n_nationkey", F.to_json(F.struct(*nation.columns)).alias("json"))
+
+
+def _trained(spark, d):
+    output = scratch_path(spark, "output")
+    rows = feature_rows(spark, d)
+    training.run_training(rows, training.TrainingConfig(model_name="naive_bayes"), output)
+    return output
+
+
+@query("run_record_roundtrip")
+def run_record_roundtrip(spark, d):
+    records = runs.read_runs(spark, [_trained(spark, d)])
+    flat = runs.flatten_runs(records).select(
+        "model_name", "tuned", "train_rows", "validation_rows", "test_rows", "feature_count")
+    return flat.join(runs.run_metrics(records).drop("run_id"), "model_name")
+
+
+@query("metric_log")
+def metric_log(spark, d):
+    stored = spark.read.parquet(f"{_trained(spark, d)}/metrics")
+    return stored.select("model_name", "split", "metric", F.round("value", 6).alias("value"))

@@ -73,3 +73,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def cut_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and continue from the files.
+
+    Later reads fetch only the columns they use, which a checkpoint cannot do.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
