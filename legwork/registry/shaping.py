@@ -40,10 +40,10 @@ def split_summary(spark, d):
 
 
 @query("threshold_split", """
-SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1999-01-01 00:00:00' THEN 'train' ELSE 'test' END AS split FROM orders""")
+SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1999-01-02 00:00:00' THEN 'train' ELSE 'test' END AS split FROM orders""")
 def threshold_split(spark, d):
     orders = views.table(spark, d, "orders")
-    return split.threshold_split(orders, "o_orderdate", "1999-01-01 00:00:00").select("o_orderkey", "split")
+    return split.threshold_split(orders, "o_orderdate", "1999-01-02 00:00:00").select("o_orderkey", "split")
 
 
 @query("time_folds", sql(["ranked"], """
