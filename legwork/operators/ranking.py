@@ -43,25 +43,28 @@ def prefix_sums(
     cells = tagged.groupBy(*keys, *names).agg(
         *[F.sum(w).alias(f"_w_{n}") for n, w in weights.items()]
     )
-    offsets = cells.withColumns({f"_off_{n}": F.lit(0) for n in weights})
+    offsets = None
     for depth, name in enumerate(names):
         outer = keys + names[:depth]
         group = outer + [name]
-        summed = cells.groupBy(*group).agg(*[F.sum(f"_w_{n}").alias(f"_s_{n}") for n in weights])
+        # the finest cells are counted already
+        level = cells if depth == len(names) - 1 else cells.groupBy(*group).agg(
+            *[F.sum(f"_w_{n}").alias(f"_w_{n}") for n in weights]
+        )
         window = _before(outer, [name])
-        summed = summed.withColumns(
-            {f"_p_{n}": F.coalesce(F.sum(f"_s_{n}").over(window), F.lit(0)) for n in weights}
+        level = level.withColumns(
+            {f"_p_{n}": F.coalesce(F.sum(f"_w_{n}").over(window), F.lit(0)) for n in weights}
         )
         if totals and depth == 0:
             whole = Window.partitionBy(*keys)
-            summed = summed.withColumns(
-                {f"{n}_total": F.sum(f"_s_{n}").over(whole) for n in weights}
-            )
-        summed = summed.drop(*[f"_s_{n}" for n in weights])
-        offsets = offsets.join(summed, group).withColumns(
-            {f"_off_{n}": F.col(f"_off_{n}") + F.col(f"_p_{n}") for n in weights}
-        ).drop(*[f"_p_{n}" for n in weights])
-    offsets = offsets.drop(*[f"_w_{n}" for n in weights])
+            level = level.withColumns({f"{n}_total": F.sum(f"_w_{n}").over(whole) for n in weights})
+        level = level.drop(*[f"_w_{n}" for n in weights])
+        if offsets is None:
+            offsets = level.withColumnsRenamed({f"_p_{n}": f"_off_{n}" for n in weights})
+        else:
+            offsets = level.join(offsets, outer).withColumns(
+                {f"_off_{n}": F.col(f"_off_{n}") + F.col(f"_p_{n}") for n in weights}
+            ).drop(*[f"_p_{n}" for n in weights])
     inside = _before(keys + names, list(order))
     return (
         tagged.join(offsets, keys + names)
@@ -191,36 +194,39 @@ def exact_quantiles(
 
 def previous_row(
     df: DataFrame,
-    keys: Sequence[str],
+    key: str,
     cell: Column,
     order: Sequence[str],
     fields: Sequence[str],
     name: str,
+    hot_limit: int = 1_000_000,
 ) -> DataFrame:
     """Adds ``name``: a struct of ``fields`` taken from the previous row of the key.
 
-    Rows are ordered inside (key, cell) only; the last row of each cell is carried to
-    the next cell of the key over a table with one row per cell. Rows with a null
-    key have no previous row and take no part in the shuffles.
+    Keys with up to ``hot_limit`` rows take a plain lag. For a larger key, rows are
+    ordered inside (key, cell) only, and the last row of each cell is carried to the next
+    one over a table with one row per cell. Rows with a null key have no previous
+    row and take no part in the shuffles.
     """
-    keys = list(keys)
-    known = F.lit(True)
-    for key in keys:
-        known = known & F.col(key).isNotNull()
     held = F.struct(*fields)
-    keyed = df.filter(known).withColumn("_cell", cell)
-    group = keys + ["_cell"]
-    last = keyed.groupBy(*group).agg(F.max_by(held, F.struct(*order)).alias("_last"))
+    light, hot = split_hot_keys(df.filter(F.col(key).isNotNull()), key, hot_limit)
+    plain = light.withColumn(name, F.lag(held).over(Window.partitionBy(key).orderBy(*order)))
+
+    group = [key, "_cell"]
+    hot = hot.withColumn("_cell", cell)
+    last = hot.groupBy(*group).agg(F.max_by(held, F.struct(*order)).alias("_last"))
     carried = last.select(
-        *group, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_cell")).alias("_carried")
+        *group, F.lag("_last").over(Window.partitionBy(key).orderBy("_cell")).alias("_carried")
     )
     inside = Window.partitionBy(*group).orderBy(*order)
-    joined = keyed.join(carried, group, "left").withColumn(
+    split = hot.join(carried, group, "left").withColumn(
         name, F.coalesce(F.lag(held).over(inside), F.col("_carried"))
     )
-    joined = joined.drop("_cell", "_carried")
-    blank = F.lit(None).cast(joined.schema[name].dataType)
-    return joined.unionByName(df.filter(~known).withColumn(name, blank))
+    blank = F.lit(None).cast(plain.schema[name].dataType)
+    return (
+        plain.unionByName(split.drop("_cell", "_carried"))
+        .unionByName(df.filter(F.col(key).isNull()).withColumn(name, blank))
+    )
 
 
 def split_hot_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:

@@ -45,9 +45,11 @@ def test_exact_quantiles(points):
         assert np.allclose(got[k], np.quantile(values, [0.25, 0.5]))
 
 
-def test_previous_row_crosses_cells(points):
+@pytest.mark.parametrize("limit", [10, 700, 10**6])
+def test_previous_row_crosses_cells(points, limit):
     rows, df = points
-    found = ranking.previous_row(df, ["k"], F.floor(F.col("id") / 7), ["id"], ["id"], "prev").collect()
+    found = ranking.previous_row(df, "k", F.floor(F.col("id") / 7), ["id"], ["id"], "prev", limit).collect()
+    assert len(found) == len(rows)
     last = {}
     for r in sorted(found, key=lambda r: r["id"]):
         assert (r["prev"]["id"] if r["prev"] else None) == last.get(r["k"])
