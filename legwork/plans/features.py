@@ -24,8 +24,10 @@ def feature_table(
 
     ``legs`` should be a stored table. State and chain see every cleaned leg; history and
     lags see the completed ones only. The chained legs are written once in between,
-    because every lookup table below is derived from them. With ``keep_keys`` the leg
-    id and day stay in the table.
+    because every lookup table below is derived from them. The lookup tables are written
+    too: Spark then knows their size when it plans the joins, and broadcasts those
+    below its threshold instead of shuffling the legs for each. With ``keep_keys`` the
+    leg id and day stay in the table.
     """
     chained = cut_to_table(chain.add_chain(legs), "chained")
     known = airports.filter(F.col("iata_code").isin(list(scope))).select("iata_code")
@@ -34,9 +36,14 @@ def feature_table(
         base = base.join(known.withColumnRenamed("iata_code", end), end, "left_semi")
 
     # lookup tables, each an aggregate of a few columns of the base rows
-    series = weather.airport_weather(base, airports.join(known, "iata_code"), readings)
+    series = cut_to_table(weather.airport_weather(base, airports.join(known, "iata_code"), readings), "weather")
+    days = cut_to_table(calendar.holiday_distances(base), "holidays")
+    hours = cut_to_table(state.airport_state(legs, min_year), "state")
     groups = {"airline": "Reporting_Airline", "origin": "Origin", "dest": "Dest", "global": None}
-    daily = {prefix: (group, *history.group_history(base, group, prefix)) for prefix, group in groups.items()}
+    daily = []
+    for prefix, group in groups.items():
+        table, columns = history.group_history(base, group, prefix)
+        daily.append((group, cut_to_table(table, f"daily-{prefix}"), columns))
     flight = history.add_flight_history(
         base.select(
             "FlightID", "FlightDate", "CRSDepDateTime_UTC", "Reporting_Airline",
@@ -44,10 +51,10 @@ def feature_table(
         )
     ).select("FlightID", *history.FLIGHT_HISTORY)
 
-    rows = state.attach_state(base, state.airport_state(legs, min_year))
-    rows = calendar.add_holidays(rows, known=calendar.holiday_distances(base))
+    rows = state.attach_state(base, hours)
+    rows = calendar.add_holidays(rows, known=days)
     rows = weather.attach_weather(rows, series)
-    for group, table, columns in daily.values():
+    for group, table, columns in daily:
         rows = history.attach_daily(rows, table, group, columns)
     rows = rows.join(flight, "FlightID", "left").fillna(0.0, subset=history.FLIGHT_HISTORY)
     rows = rows.withColumns(

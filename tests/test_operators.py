@@ -185,6 +185,16 @@ def test_graph_metrics(small_graph):
         assert labels[i] == min(seen)
 
 
+def test_components_of_a_long_path(spark):
+    chain_ids = list(range(400))
+    random.Random(2).shuffle(chain_ids)
+    raw = list(zip(chain_ids, chain_ids[1:])) + [(500, 501)]
+    pairs = graph.undirected(spark.createDataFrame(raw, "src_id bigint, target_id bigint"))
+    ids = graph.all_ids(spark.createDataFrame([(501,)], "id bigint"))
+    sizes = sorted(r["size"] for r in graph.component_sizes(graph.components(pairs, ids)).collect())
+    assert sizes[-2:] == [2, 400] and sum(sizes) == 502
+
+
 def test_core_number_by_peeling(small_graph):
     pairs, ids, near, n = small_graph
     core, left, k = {}, {i: set(near[i]) for i in range(n)}, 0
