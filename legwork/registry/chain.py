@@ -30,7 +30,7 @@ SELECT *, CASE WHEN due_in AND NOT landed THEN date_diff('second', p_crs_arr, In
 
 
 @query("prev_leg_chain", sql(["linked"], f"""
-SELECT FlightID, p_id AS prev_id, strftime(p_crs_arr, '%Y-%m-%d %H:%M:%S') AS prev_crs_arr,
+SELECT FlightID, CAST(p_id AS DOUBLE) AS prev_id, strftime(p_crs_arr, '%Y-%m-%d %H:%M:%S') AS prev_crs_arr,
   CASE WHEN same_air THEN 0 ELSE 1 END AS FirstFlightRecord, CASE WHEN has THEN 1 ELSE 0 END AS has_prev_flight,
   CASE WHEN p_day = FlightDate THEN 1 ELSE 0 END AS Same_day_previous_flight,
   CASE WHEN Origin = p_dest AND Dest = p_orig THEN 1 ELSE 0 END AS is_Return_flight
@@ -38,7 +38,7 @@ FROM linked"""))
 def prev_leg_chain(spark, d):
     linked = chain.add_previous_leg(legs(spark, d))
     return linked.select(
-        "FlightID", F.col("prev.FlightID").alias("prev_id"),
+        "FlightID", F.col("prev.FlightID").cast("double").alias("prev_id"),
         text("prev.CRSArrDateTime_UTC").alias("prev_crs_arr"),
         "FirstFlightRecord", "has_prev_flight", "Same_day_previous_flight", "is_Return_flight",
     )
@@ -73,12 +73,12 @@ def turnaround(spark, d):
 
 
 @query("legs_per_day", sql(["legs"], """
-SELECT FlightID, CASE WHEN Tail_Number IS NOT NULL THEN row_number() OVER w - 1 END AS Flights_before_today,
-  CASE WHEN Tail_Number IS NOT NULL THEN count(*) OVER (PARTITION BY Tail_Number, FlightDate) END AS total_Flights_scheduled_today
+SELECT FlightID, CASE WHEN Tail_Number IS NOT NULL THEN CAST(row_number() OVER w - 1 AS DOUBLE) END AS Flights_before_today,
+  CASE WHEN Tail_Number IS NOT NULL THEN CAST(count(*) OVER (PARTITION BY Tail_Number, FlightDate) AS DOUBLE) END AS total_Flights_scheduled_today
 FROM legs WINDOW w AS (PARTITION BY Tail_Number, FlightDate ORDER BY CRSDepDateTime_UTC, FlightID)"""))
 def legs_per_day(spark, d):
     return chain.add_legs_per_day(legs(spark, d)).select(
-        "FlightID", "Flights_before_today", "total_Flights_scheduled_today"
+        "FlightID", *rounded("Flights_before_today", "total_Flights_scheduled_today")
     )
 
 

@@ -26,16 +26,16 @@ def anomaly_filter(spark, d):
 
 
 @query("hhmm_parse", sql(["clean0"], """
-SELECT FlightID, CAST(CRSDepTime AS INTEGER) AS crs_dep, CAST(DepTime AS INTEGER) AS dep,
-  CAST(CRSArrTime AS INTEGER) AS crs_arr, CAST(ArrTime AS INTEGER) AS arr,
+SELECT FlightID, CAST(CRSDepTime AS INTEGER) AS crs_dep, CAST(DepTime AS DOUBLE) AS dep,
+  CAST(CRSArrTime AS INTEGER) AS crs_arr, CAST(ArrTime AS DOUBLE) AS arr,
   lpad(CAST(DepTime // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(DepTime % 60 AS VARCHAR), 2, '0') AS dep_clock
 FROM clean0"""))
 def hhmm_parse(spark, d):
     parsed = clean.parse_clock_times(clean.drop_lost_legs(raw(spark, d)))
     return parsed.select(
         "FlightID",
-        F.col("CRSDepTime").alias("crs_dep"), F.col("DepTime").alias("dep"),
-        F.col("CRSArrTime").alias("crs_arr"), F.col("ArrTime").alias("arr"),
+        F.col("CRSDepTime").alias("crs_dep"), F.col("DepTime").cast("double").alias("dep"),
+        F.col("CRSArrTime").alias("crs_arr"), F.col("ArrTime").cast("double").alias("arr"),
         t.clock_text(F.col("DepTime")).alias("dep_clock"),
     )
 

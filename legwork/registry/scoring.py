@@ -146,14 +146,16 @@ _MIDDLES = {0: 0, 1: 37, 2: 120, 3: 240}
 
 
 @query("roc_auc_ovr", sql(["labelled"], """
-SELECT class, CAST(np AS BIGINT) AS positives, round(auc, 6) AS roc_auc FROM per
-UNION ALL SELECT NULL, CAST(sum(np) AS BIGINT), round(sum(auc * np) / sum(np), 6) FROM per""",
+SELECT CAST(class AS VARCHAR) AS class, CAST(np AS BIGINT) AS positives, round(auc, 6) AS roc_auc FROM per
+UNION ALL SELECT 'weighted', CAST(sum(np) AS BIGINT), round(sum(auc * np) / sum(np), 6) FROM per""",
     s="SELECT class, CASE WHEN label = class THEN 1 ELSE 0 END AS y, -abs(DepDelay - mid) AS score FROM labelled, (VALUES (0, 0), (1, 37), (2, 120), (3, 240)) m(class, mid)",
     r="SELECT *, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score) - 1) / 2.0 AS rk FROM s",
     per="SELECT class, sum(y) AS np, (sum(rk) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)) AS auc FROM r GROUP BY class"))
 def roc_auc_ovr(spark, d):
     scores = {c: -F.abs(F.col("DepDelay") - m) for c, m in _MIDDLES.items()}
-    return evaluate.roc_auc_ovr(labelled(spark, d), "label", scores).select("class", "positives", *rounded("roc_auc"))
+    found = evaluate.roc_auc_ovr(labelled(spark, d), "label", scores)
+    name = F.coalesce(F.col("class").cast("string"), F.lit("weighted"))
+    return found.select(name.alias("class"), "positives", *rounded("roc_auc"))
 
 
 _RUN_HEAD = f"SELECT model_name, run_id, split, {_HEAD} FROM stats GROUP BY ALL"

@@ -122,14 +122,14 @@ def one_hot(spark, d):
 
 
 @query("dummies_null", sql(["legs"], """
-SELECT FlightID, CASE WHEN ArrTime IS NULL THEN NULL WHEN ArrDelay >= 15 THEN 1 ELSE 0 END AS late_flag,
+SELECT FlightID, CASE WHEN ArrTime IS NULL THEN NULL WHEN ArrDelay >= 15 THEN 1.0 ELSE 0.0 END::DOUBLE AS late_flag,
   CASE WHEN Tail_Number IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS tail_nan,
   CASE WHEN Tail_Number IS NOT NULL AND Origin < 'A3' THEN 1.0 ELSE 0.0 END::DOUBLE AS tail_west,
   CASE WHEN Tail_Number IS NOT NULL AND Origin >= 'A3' THEN 1.0 ELSE 0.0 END::DOUBLE AS tail_east FROM legs"""))
 def dummies_null(spark, d):
     rows = legs(spark, d).select(
         "FlightID",
-        F.when(F.col("ArrTime").isNotNull(), (F.col("ArrDelay") >= 15).cast("int")).alias("late_flag"),
+        F.when(F.col("ArrTime").isNotNull(), (F.col("ArrDelay") >= 15).cast("double")).alias("late_flag"),
         F.when(F.col("Tail_Number").isNotNull(), F.when(F.col("Origin") < "A3", "west").otherwise("east")).alias("tail"),
     )
     return encode.one_hot(rows, encode.fit_categories(rows, ["tail"]), null_column=True)
