@@ -46,7 +46,7 @@ cte("readings", """
 SELECT 'S' || (user_id % 7) AS station, date_trunc('hour', ts) AS "timestamp",
   avg(CAST(floor(value) AS INTEGER)) AS temp, avg(k) FILTER (WHERE k % 4 = 0) AS prcp,
   CAST(max(k) FILTER (WHERE k % 5 <> 0) AS DOUBLE) AS wspd, CAST(min(k) FILTER (WHERE event_id % 7 = 0) AS DOUBLE) AS rhum
-FROM ev WHERE event_id % 3 <> 0 GROUP BY ALL""", ["ev"])
+FROM ev GROUP BY ALL""", ["ev"])
 cte("choices", """
 SELECT iata_code AS airport, 0 AS rank, airport_station AS station FROM airport_dim WHERE airport_station IS NOT NULL
 UNION ALL SELECT iata_code, 1, closest_station_1 FROM airport_dim WHERE closest_station_1_distance < 50000

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from legwork import schemas
+from legwork.functions.scalars import to_number
 from legwork.operators import profile
 from legwork.registry.base import TS, legs, query, raw, rounded, sql, text
 from legwork.sources import views
@@ -239,3 +240,24 @@ def log_overview(spark, d):
     log = views.with_datetime(views.messages(spark, d))
     return series.overview(log).select(
         "messages", text("first_at").alias("first_at"), text("last_at").alias("last_at"), "people")
+
+
+@query("column_selection", sql(["raw"], f"""
+SELECT "column" FROM ({_union(_RAW, "SELECT '{c}' AS \"column\", count(DISTINCT {q}) AS u, count(*) FILTER (WHERE {q} IS NULL) AS n FROM {t}", "raw")})
+WHERE n = 0 AND u BETWEEN 2 AND 50"""))
+def column_selection(spark, d):
+    """Columns without nulls that hold 2 to 50 distinct values."""
+    rows = raw(spark, d)
+    kept = profile.keep_columns(rows, no_nulls=True, min_unique=2, max_unique=50)
+    return profile.schema_report(rows.select(*kept)).select("column")
+
+
+@query("numeric_coercion", """
+SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS DOUBLE) AS priority, TRY_CAST(o_orderstatus AS DOUBLE) AS status FROM orders""")
+def numeric_coercion(spark, d):
+    """Text to number, null where it does not parse."""
+    return views.table(spark, d, "orders").select(
+        "o_orderkey",
+        to_number(F.split("o_orderpriority", "-")[0]).alias("priority"),
+        to_number(F.col("o_orderstatus")).alias("status"),
+    )
