@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwork.operators.ranking import positions, split_hot_keys
 from legwork.schemas import DELAY_COLUMN
 
+# tasks get the functions of this module by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def daily_mean(
     legs: DataFrame, group: str | None, value: str = DELAY_COLUMN, name: str = "daily_mean"

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legwork.schemas import RAW_LEG_TYPES
 
+# tasks get the functions of this module by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHUNK_ROWS = 50_000
 ARCHIVE_SCHEMA = "archive string, " + ", ".join(f"`{n}` string" for n in RAW_LEG_TYPES)
 
