@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from legwork.functions.scalars import countries_of, ratio
 from legwork.operators.profile import describe
 from legwork.operators.ranking import exact_quantiles
-from legwork.session import cut_lineage
+from legwork.session import cut_lineage, cut_to_table
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -57,16 +57,16 @@ def degree_summary(degree: DataFrame) -> DataFrame:
     return degree.agg(F.avg("degree").alias("mean"), F.max("degree").alias("max")).withColumn("median", middle)
 
 
-def components(pairs: DataFrame, ids: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     """Smallest id of the component of every id.
 
     Alternates two star steps until nothing changes: every node's larger neighbours move
     to the smallest neighbour, then the smaller ones do. The number of rounds grows
-    with the logarithm of the longest path.
+    with the logarithm of the longest path. Pairs (a < b) and ids may be of any ordered type.
     """
-    current = cut_lineage(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    current = cut_to_table(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")), "stars")
     mark = _edge_mark(current)
-    for _ in range(max_rounds):
+    while mark[0]:
         # large star
         sym = current.select("u", "v").union(current.select("v", "u")).toDF("u", "v")
         least = sym.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -76,12 +76,10 @@ def components(pairs: DataFrame, ids: DataFrame, max_rounds: int = 100) -> DataF
         low = linked.groupBy("u").agg(F.min("v").alias("m"))
         moved = linked.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         kept = low.select("u", F.col("m").alias("v"))
-        current = cut_lineage(moved.union(kept).filter("u <> v").distinct())
+        current = cut_to_table(moved.union(kept).filter("u <> v").distinct(), "stars")
         previous, mark = mark, _edge_mark(current)
         if mark == previous:
             break
-    else:
-        raise RuntimeError(f"Components did not settle within {max_rounds} rounds")
     roots = current.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
     return ids.join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
