@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwork.llm.quality import bound
-from legwork.llm.text import ascii_lower, filled, plus, same, sized_broadcast, text_key
+from legwork.llm.text import ascii_lower, filled, free, plus, same, sized_broadcast, text_key
 from legwork.session import cut_to_table
 
 # ASCII characters that are no letters and no digits part words.
@@ -75,8 +75,9 @@ def judged(
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
-) -> DataFrame:
-    """``docs`` with a struct ``_hit`` of n_words, n_hit and items; see ``hits``."""
+) -> tuple[DataFrame, str]:
+    """``docs`` with a struct of n_words, n_hit and items, and its name; see ``hits``."""
+    hit = free(docs, "hit")
     windows = cut_to_table(item_windows(items, width, item_id_col, item_text_col), "windows")
     vocabulary = windows.select(F.explode(F.transform("window", join_form)).alias("word")).distinct()
     vocabulary = cut_to_table(vocabulary, "vocabulary")
@@ -104,8 +105,8 @@ def judged(
     )
     none = F.array().cast("array<struct<start:int,window:array<string>,items:array<string>>>")
     verdict = bound(raw_words(text_col), lambda w: verified(w, F.coalesce("_hit_cands", none)))
-    out = joined.select("*", F.inline_outer(F.array(F.struct(verdict.alias("_hit")))))
-    return out.drop("_hit_doc", "_hit_mark", "_hit_cands")
+    out = joined.select("*", F.inline_outer(F.array(F.struct(verdict.alias(hit)))))
+    return out.drop("_hit_doc", "_hit_mark", "_hit_cands"), hit
 
 
 def hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -117,13 +118,14 @@ def hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     documents all get the same result. Input columns of the new names give way. An empty
     table of documents gives an empty one; without items nothing is hit.
     """
+    out, hit = judged(docs, items, **options)
     return plus(
-        judged(docs, items, **options),
-        n_words=F.col("_hit.n_words").cast("long"),
-        n_hit=F.col("_hit.n_hit").cast("long"),
-        n_items=F.size("_hit.items").cast("long"),
-        item_ids=F.col("_hit.items"),
-    ).drop("_hit")
+        out,
+        n_words=F.col(f"{hit}.n_words").cast("long"),
+        n_hit=F.col(f"{hit}.n_hit").cast("long"),
+        n_items=F.size(f"{hit}.items").cast("long"),
+        item_ids=F.col(f"{hit}.items"),
+    ).drop(hit)
 
 
 def verified(own: Column, candidates: Column) -> Column:
@@ -155,4 +157,5 @@ def verified(own: Column, candidates: Column) -> Column:
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with their own columns."""
-    return judged(docs, items, **options).filter("_hit.n_hit = 0").drop("_hit")
+    out, hit = judged(docs, items, **options)
+    return out.filter(F.col(f"{hit}.n_hit") == 0).drop(hit)

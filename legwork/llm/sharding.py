@@ -114,14 +114,15 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 0, cell_rows: int = 100_0
     cells = sized_broadcast(cells, parts, 8 * shards + 32)
 
     # The shard is the number of shards that end at or before the row's place.
-    sent = plus(stored, **{mix: part}).join(cells.withColumnRenamed("part", mix), mix)
-    upto = F.filter("until", lambda end: end <= place)
-    until_less = plus(sent, shard=F.size(upto).cast("int")).drop("until", mix)
+    until = free(df, "until")
+    sent = plus(stored, **{mix: part}).join(cells.withColumnsRenamed({"part": mix, "until": until}), mix)
+    upto = F.filter(until, lambda end: end <= place)
+    sent = plus(sent, shard=F.size(upto).cast("int")).drop(until, mix)
 
     # Permute again: order by a seeded hash, in cells cut by its top 31 bits.
     per_shard = pieces(rows, shards * cell_rows)
     turn, cell = free(df, "turn"), free(df, "cell")
-    turned = until_less.withColumn(turn, F.xxhash64(F.lit(seed + 1), F.col(at)))
+    turned = sent.withColumn(turn, F.xxhash64(F.lit(seed + 1), F.col(at)))
     turned = turned.withColumn(
         cell, F.shiftright(F.shiftrightunsigned(turn, 33) * F.lit(per_shard), 31).cast("int")
     )
