@@ -15,6 +15,8 @@ DEFAULTS = {
     # The JVM does not compile methods beyond this size; wide projections fall back
     # to split expression code, which it does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Whole texts go to Python in batches; rows alone do not bound a batch of long texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
