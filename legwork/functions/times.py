@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,29 +42,28 @@ def local_timestamp(day: Column, minute_of_day: Column) -> Column:
     return plus_minutes(midnight, minute_of_day)
 
 
-def _by_zone(function: str, ts: str, zone: str, zones: Sequence[str]) -> Column:
-    """Conversion by the row's zone; a literal zone name lets Spark resolve it once."""
-    branches = " ".join(f"WHEN '{z}' THEN {function}(cast(`{ts}` as timestamp), '{z}')" for z in zones)
-    return F.expr(f"cast(CASE `{zone}` {branches} END as timestamp_ntz)")
+def _by_zone(function: str, ts: str, zone: str) -> Column:
+    """Conversion by the row's zone; an unknown zone name fails, a null one gives null."""
+    return F.expr(f"cast({function}(cast(`{ts}` as timestamp), `{zone}`) as timestamp_ntz)")
 
 
-def to_utc(local: str, zone: str, zones: Sequence[str]) -> Column:
+def to_utc(local: str, zone: str) -> Column:
     """Local wall clock -> UTC wall clock, by column names; the session zone must be UTC.
 
     In the autumn fold the daylight-saving reading is taken. A time in the spring gap
     comes out as if the gap did not exist; ``leave_gap`` moves it to the end of the gap.
     """
-    return _by_zone("to_utc_timestamp", local, zone, zones)
+    return _by_zone("to_utc_timestamp", local, zone)
 
 
-def from_utc(utc: str, zone: str, zones: Sequence[str]) -> Column:
-    return _by_zone("from_utc_timestamp", utc, zone, zones)
+def from_utc(utc: str, zone: str) -> Column:
+    return _by_zone("from_utc_timestamp", utc, zone)
 
 
-def leave_gap(utc: str, local: str, zone: str, zones: Sequence[str]) -> Column:
+def leave_gap(utc: str, local: str, zone: str) -> Column:
     """Corrects a converted time whose wall clock does not exist to the first valid instant."""
     into_gap = F.col(local) - F.date_trunc("HOUR", local).cast("timestamp_ntz")
-    exists = from_utc(utc, zone, zones) == F.col(local)
+    exists = from_utc(utc, zone) == F.col(local)
     return F.when(exists, F.col(utc)).when(F.col(utc).isNotNull(), F.col(utc) - into_gap)
 
 

@@ -36,10 +36,10 @@ def add_legs_per_day(legs: DataFrame) -> DataFrame:
     return counted.unionByName(unknown, allowMissingColumns=True)
 
 
-def add_previous_leg(legs: DataFrame, hot_limit: int = 1_000_000) -> DataFrame:
+def add_previous_leg(legs: DataFrame) -> DataFrame:
     """Adds the struct ``prev`` (previous leg of the tail) and the flags on it."""
     order = ["CRSDepDateTime_UTC", "FlightID"]
-    linked = previous_row(legs, "Tail_Number", _hour(), order, PREVIOUS_FIELDS, "prev", hot_limit)
+    linked = previous_row(legs, "Tail_Number", F.trunc("CRSDepDateTime_UTC", "month"), order, PREVIOUS_FIELDS, "prev")
     p = F.col("prev")
     same_aircraft = p.isNotNull() & same(F.col("Reporting_Airline"), p["Reporting_Airline"])
     flown = same(p["Cancelled"], F.lit(0)) & same(p["Diverted"], F.lit(0))

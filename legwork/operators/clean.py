@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,13 +77,7 @@ def attach_zones(legs: DataFrame, airports: DataFrame, strict: bool = True) -> D
     return legs.withColumns(found) if strict else legs
 
 
-def zone_names(airports: DataFrame) -> list[str]:
-    """Zones of the dimension; there are only a few hundred zone names in the world."""
-    rows = airports.select("TZ").filter("TZ IS NOT NULL").distinct().limit(1000).collect()
-    return sorted(row["TZ"] for row in rows)
-
-
-def add_timestamps(legs: DataFrame, zones: Sequence[str]) -> DataFrame:
+def add_timestamps(legs: DataFrame) -> DataFrame:
     """Local and UTC timestamps of the planned and actual movements."""
     c = F.col
     midnight = c("FlightDate").cast("date").cast("timestamp_ntz")
@@ -99,10 +91,8 @@ def add_timestamps(legs: DataFrame, zones: Sequence[str]) -> DataFrame:
     }
     zone = {name: "TZ_Origin" if "Dep" in name else "TZ_Dest" for name in local}
     legs = legs.withColumns(local)
-    legs = legs.withColumns({f"{n}_UTC": t.to_utc(n, zone[n], zones) for n in local})
-    legs = legs.withColumns(
-        {f"{n}_UTC": t.leave_gap(f"{n}_UTC", n, zone[n], zones) for n in local}
-    )
+    legs = legs.withColumns({f"{n}_UTC": t.to_utc(n, zone[n]) for n in local})
+    legs = legs.withColumns({f"{n}_UTC": t.leave_gap(f"{n}_UTC", n, zone[n]) for n in local})
     # an arrival before its departure belongs to the next day
     rolled = {"UTC_CRS_FlightDate": F.to_date("CRSDepDateTime_UTC")}
     for plan in ("CRS", ""):
@@ -126,14 +116,8 @@ def add_information_time(legs: DataFrame, hours_before: int = HOURS_BEFORE) -> D
     )
 
 
-def clean_legs(
-    raw: DataFrame,
-    airports: DataFrame,
-    hours_before: int = HOURS_BEFORE,
-    zones: Sequence[str] | None = None,
-) -> DataFrame:
+def clean_legs(raw: DataFrame, airports: DataFrame, hours_before: int = HOURS_BEFORE) -> DataFrame:
     """All cleaning steps, one lazy plan without a shuffle of the legs."""
-    zones = zones or zone_names(airports)
     legs = parse_clock_times(drop_lost_legs(raw))
-    legs = add_timestamps(attach_zones(legs, airports), zones)
+    legs = add_timestamps(attach_zones(legs, airports))
     return add_information_time(legs, hours_before)

@@ -10,19 +10,15 @@ from pyspark.sql import types as T
 
 from legwork import schemas
 
-MAX_CATEGORIES = 2000
-
 
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column; more than ``MAX_CATEGORIES`` in total raises.
+    """Sorted distinct values per column.
 
-    Indicator columns are part of the schema, so the values have to be known while the
-    plan is built.
+    Indicator columns are part of the schema, so the driver has to know the values while
+    the plan is built; there are as many as the result has columns.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    found = train.select(F.inline(pairs)).filter("value IS NOT NULL").distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"More than {MAX_CATEGORIES} categories in {list(columns)}")
+    found = train.select(F.inline(pairs)).filter("value IS NOT NULL").distinct().collect()
     return {c: sorted(r["value"] for r in found if r["column"] == c) for c in columns}
 
 

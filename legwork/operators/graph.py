@@ -36,12 +36,8 @@ def both_ways(pairs: DataFrame) -> DataFrame:
 
 def all_ids(nodes: DataFrame) -> DataFrame:
     """Every id from 0 to the largest one; ids without a row count as isolated nodes."""
-    top = nodes.agg(F.max("id")).scalar()
-    spark = nodes.sparkSession
-    # chunks of a million ids, so that no task or row holds the whole range
-    size = 1_000_000
-    starts = spark.range(1).select(F.explode(F.sequence(F.lit(0).cast("bigint"), top, F.lit(size).cast("bigint"))).alias("s"))
-    return starts.select(F.explode(F.sequence("s", F.least(F.col("s") + size - 1, top))).alias("id"))
+    top = nodes.agg(F.max("id").alias("top")).first()["top"]
+    return nodes.sparkSession.range(0, -1 if top is None else top + 1)
 
 
 def degrees(pairs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -182,16 +178,16 @@ def pagerank(
     return ranks.select("id", "pagerank")
 
 
-def core_numbers(pairs: DataFrame, ids: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def core_numbers(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     """Core number of every id.
 
     Each round replaces a node's value by the h-index of its neighbours' values until
     nothing changes. The values are counted per node first; a node sees at most
     as many distinct values as there are distinct degrees.
     """
-    adjacency = cut_lineage(both_ways(pairs))
-    values = cut_lineage(degrees(pairs, ids).select("id", F.col("degree").alias("core")))
-    for _ in range(max_rounds):
+    adjacency = cut_to_table(both_ways(pairs), "adjacency")
+    values = cut_to_table(degrees(pairs, ids).select("id", F.col("degree").alias("core")), "cores")
+    while True:
         seen = (
             adjacency.join(values.select(F.col("id").alias("dst"), F.col("core").alias("c")), "dst")
             .groupBy(F.col("src").alias("id"), "c")
@@ -204,11 +200,10 @@ def core_numbers(pairs: DataFrame, ids: DataFrame, max_rounds: int = 1000) -> Da
         updated = values.join(h, "id", "left").select(
             "id", F.least(F.col("core"), F.coalesce("h", F.lit(0))).alias("core"), F.col("core").alias("_old")
         )
-        updated = cut_lineage(updated)
+        updated = cut_to_table(updated, "cores")
         values = updated.drop("_old")
         if updated.filter("core <> _old").isEmpty():
             return values.withColumnRenamed("core", "core_number")
-    raise RuntimeError(f"Core numbers did not settle within {max_rounds} rounds")
 
 
 def network_summary(pairs: DataFrame, ids: DataFrame, labels: DataFrame) -> DataFrame:

@@ -59,32 +59,64 @@ def blank_profile(df: DataFrame) -> DataFrame:
 
 def value_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, value, rows) for every distinct value; long text is held by its digest."""
-    entries = []
-    for field in df.schema.fields:
-        if columns is None or field.name in columns:
-            value = F.col(_q(field.name)).cast("string")
-            if isinstance(field.dataType, T.StringType):
-                value = F.when(F.length(value) > 64, F.sha2(value, 256)).otherwise(value)
-            entries.append(F.struct(F.lit(field.name).alias("column"), value.alias("value")))
-    return df.select(F.inline(F.array(*entries))).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    entries = _long_entries(df, columns).select("column", _held("value").alias("value"))
+    return entries.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _long_entries(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    names = [n for n in df.columns if columns is None or n in columns]
+    pairs = [F.struct(F.lit(n).alias("column"), F.col(_q(n)).cast("string").alias("value")) for n in names]
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def _held(value: str) -> Column:
+    """What stands for a value while values are counted."""
+    return F.when(F.length(value) > 64, F.sha2(value, 256)).otherwise(F.col(value))
 
 
 def unique_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values per column without and with null, null count, mode and its share."""
     counts = value_counts_long(df, columns)
     ordered = F.struct(F.col("rows"), F.col("value"))
-    return counts.groupBy("column").agg(
+    profile = counts.groupBy("column").agg(
         F.count("value").alias("unique_values"),
         F.count(F.lit(1)).alias("unique_count"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("nan_values"),
         F.max_by("value", F.when(F.col("value").isNotNull(), ordered)).alias("mode"),
         (F.max(F.when(F.col("value").isNotNull(), F.col("rows"))) / F.sum("rows")).alias("mode_share"),
     )
+    # Only where a digest won is the text itself looked up: one row per column.
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    texts = [n for n in texts if columns is None or n in columns]
+    if not texts:
+        return profile
+    long_text = _long_entries(df, texts).filter(F.length("value") > 64)
+    won = profile.select("column", F.col("mode").alias("_won")).filter(F.length("_won") == 64)
+    full = (
+        long_text.withColumn("_won", _held("value")).join(won, ["column", "_won"])
+        .groupBy("column").agg(F.max("value").alias("_full"))
+    )
+    names = profile.columns
+    profile = profile.join(full, "column", "left").withColumn("mode", F.coalesce("_full", "mode"))
+    return profile.select(*names)
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Columns with at most one distinct value, null counted as a value."""
-    return unique_profile(df, columns).filter("unique_count <= 1").select("column", "unique_count")
+    """Columns with at most one distinct value, null counted as a value; one pass, nothing exploded."""
+    names = [n for n in df.columns if columns is None or n in columns]
+    text = {n: F.col(_q(n)).cast("string") for n in names}
+    packed = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count(text[n]).alias("known"),
+            (F.min(text[n]) == F.max(text[n])).alias("one"),
+        )
+        for n in names
+    ]
+    found = df.agg(F.array(*packed).alias("p")).select(F.inline("p"))
+    single = (F.col("known") == 0) | (F.col("one") & (F.col("known") == F.col("rows")))
+    return found.filter(single & (F.col("rows") > 0)).select("column", F.lit(1).cast("bigint").alias("unique_count"))
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

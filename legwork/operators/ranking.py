@@ -199,34 +199,27 @@ def previous_row(
     order: Sequence[str],
     fields: Sequence[str],
     name: str,
-    hot_limit: int = 1_000_000,
 ) -> DataFrame:
     """Adds ``name``: a struct of ``fields`` taken from the previous row of the key.
 
-    Keys with up to ``hot_limit`` rows take a plain lag. For a larger key, rows are
-    ordered inside (key, cell) only, and the last row of each cell is carried to the next
-    one over a table with one row per cell. Rows with a null key have no previous
-    row and take no part in the shuffles.
+    Rows are ordered inside (key, cell) only, and the last row of each cell is carried to
+    the next one over a table with one row per cell, so that no task holds a whole key.
+    Rows with a null key have no previous row and take no part in the shuffles.
     """
     held = F.struct(*fields)
-    light, hot = split_hot_keys(df.filter(F.col(key).isNotNull()), key, hot_limit)
-    plain = light.withColumn(name, F.lag(held).over(Window.partitionBy(key).orderBy(*order)))
-
     group = [key, "_cell"]
-    hot = hot.withColumn("_cell", cell)
-    last = hot.groupBy(*group).agg(F.max_by(held, F.struct(*order)).alias("_last"))
+    known = df.filter(F.col(key).isNotNull()).withColumn("_cell", cell)
+    last = known.groupBy(*group).agg(F.max_by(held, F.struct(*order)).alias("_last"))
     carried = last.select(
         *group, F.lag("_last").over(Window.partitionBy(key).orderBy("_cell")).alias("_carried")
     )
     inside = Window.partitionBy(*group).orderBy(*order)
-    split = hot.join(carried, group, "left").withColumn(
+    linked = known.join(carried, group, "left").withColumn(
         name, F.coalesce(F.lag(held).over(inside), F.col("_carried"))
     )
-    blank = F.lit(None).cast(plain.schema[name].dataType)
-    return (
-        plain.unionByName(split.drop("_cell", "_carried"))
-        .unionByName(df.filter(F.col(key).isNull()).withColumn(name, blank))
-    )
+    linked = linked.drop("_cell", "_carried")
+    blank = F.lit(None).cast(linked.schema[name].dataType)
+    return linked.unionByName(df.filter(F.col(key).isNull()).withColumn(name, blank))
 
 
 def split_hot_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:

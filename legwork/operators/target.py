@@ -14,7 +14,7 @@ def add_delay_class(
 ) -> DataFrame:
     """Adds the ordered class; rows without a delay value are removed."""
     if delay_column not in legs.columns:
-        raise ValueError(f"Missing required delay column: {delay_column}")
+        raise ValueError(f"There is no column {delay_column} to classify")
     labelled = legs.withColumn(target_column, delay_class(F.col(delay_column)))
     return labelled.filter(F.col(target_column).isNotNull())
 
@@ -59,7 +59,7 @@ def class_weights(df: DataFrame, label: str = "label", weights: object = "balanc
     """
     if isinstance(weights, str):
         if weights != "balanced":
-            raise ValueError("weights must be either a dict, None, or the string 'balanced'")
+            raise ValueError("Class weights are a mapping, 'balanced' or absent")
         counted = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
         overall = counted.agg(
             F.struct(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k"))
@@ -70,7 +70,7 @@ def class_weights(df: DataFrame, label: str = "label", weights: object = "balanc
     if weights is None:
         weights = FIXED_CLASS_WEIGHTS
     if not isinstance(weights, dict):
-        raise ValueError("weights must be either a dict, None, or the string 'balanced'")
+        raise ValueError("Class weights are a mapping, 'balanced' or absent")
     pairs = F.array(
         *[F.struct(F.lit(float(c)).alias(label), F.lit(float(w)).alias("weight")) for c, w in weights.items()]
     )

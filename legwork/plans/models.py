@@ -33,11 +33,11 @@ def _scaled(estimator: Estimator) -> Pipeline:
 
 
 def logistic_regression(**params) -> Estimator:
-    return LogisticRegression(**_columns(), **{"maxIter": 3000, **params})
+    return LogisticRegression(**_columns(), **{"maxIter": 3000, "standardization": False, **params})
 
 
 def logistic_regression_pipeline(**params) -> Estimator:
-    return _scaled(LogisticRegression(**_columns("scaled"), **{"maxIter": 3000, **params}))
+    return _scaled(LogisticRegression(**_columns("scaled"), **{"maxIter": 3000, "standardization": False, **params}))
 
 
 def random_forest(**params) -> Estimator:

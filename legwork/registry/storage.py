@@ -23,10 +23,11 @@ SELECT "Year", "Month", CAST(count(*) AS BIGINT) AS legs, CAST(sum(Distance) AS
 def month_scan(spark, d):
     root = scratch_path(spark, "months")
     rows = raw(spark, d).drop("FlightID")
-    for month in (1, 2):  # one file per month of the source; the others are absent and skipped
-        part = rows.filter((F.col("Year") == 2024) & (F.col("Month") == month))
-        sinks.write_csv(part, tables.month_paths(root, [2024], [month])[0])
-    found = tables.read_months(spark, root, [2023, 2024])
+    months = sorted(tuple(r) for r in rows.select("Year", "Month").distinct().collect())
+    for year, month in months:  # one file per month of the source; the others are absent and skipped
+        part = rows.filter((F.col("Year") == year) & (F.col("Month") == month))
+        sinks.write_csv(part, tables.month_paths(root, [year], [month])[0])
+    found = tables.read_months(spark, root, sorted({y for y, _ in months}))
     return found.groupBy("Year", "Month").agg(
         F.count(F.lit(1)).alias("legs"), F.sum("Distance").cast("bigint").alias("distance"))
 

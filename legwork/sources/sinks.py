@@ -28,8 +28,12 @@ def write_json(df: DataFrame, path: str) -> str:
 
 
 def write_legs(legs: DataFrame, path: str) -> str:
-    """Cleaned legs or features, one folder per year and month."""
-    return write_parquet(legs, path, ["Year", "Month"])
+    """Cleaned legs or features, one folder per year and month.
+
+    Rows are first gathered by folder; Spark divides large folders and joins small ones, so
+    tasks do not write a file into every folder.
+    """
+    return write_parquet(legs.hint("rebalance", "Year", "Month"), path, ["Year", "Month"])
 
 
 def read_legs(spark: SparkSession, path: str) -> DataFrame:

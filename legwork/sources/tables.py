@@ -24,7 +24,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def join_path(root: str, *parts: str) -> str:
     """Appends relative parts to a local or object-store root."""
     if not root:
-        raise ValueError("A storage root is required")
+        raise ValueError("The root folder is empty")
     clean = [str(p).strip("/") for p in parts if str(p)]
     return "/".join([root.rstrip("/") or "/", *clean])
 
@@ -35,7 +35,7 @@ def configure_object_store(spark: SparkSession, root: str) -> str:
     Other roots are returned as they are.
     """
     if not root:
-        raise ValueError("A storage root is required")
+        raise ValueError("The root folder is empty")
     if not root.startswith("s3://"):
         return root
     needed = {"AWS_ACCESS_KEY_ID": "fs.s3a.access.key", "AWS_SECRET_ACCESS_KEY": "fs.s3a.secret.key"}
@@ -69,17 +69,22 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     return read_table(spark, path) if path_exists(spark, path) else None
 
 
-def _required(name: str, kind: str) -> Column:
-    value = F.col(name).cast(kind)
-    if name not in NON_NULL_LEG_COLUMNS:
-        return value.alias(name)
-    return F.coalesce(value, F.raise_error(F.lit(f"Column {name} holds a null")).cast(kind)).alias(name)
+def typed_legs(texts: DataFrame, *more: Column) -> DataFrame:
+    """The 30 leg columns of text rows, typed; a null in an integer column fails.
+
+    The check is a filter: unlike a column it is evaluated whatever the caller reads.
+    """
+    legs = texts.select(*[F.col(n).cast(kind).alias(n) for n, kind in RAW_LEG_TYPES.items()], *more)
+    whole = F.lit(True)
+    for name in NON_NULL_LEG_COLUMNS:
+        bad = F.raise_error(F.lit(f"Column {name} holds a null")).cast("boolean")
+        whole = F.when(F.col(name).isNull(), bad).otherwise(whole)
+    return legs.filter(whole)
 
 
 def read_raw_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The 30 leg columns of raw CSV files, typed; a null in an integer column fails."""
-    texts = spark.read.option("header", True).csv(list(paths))
-    return texts.select(*[_required(n, kind) for n, kind in RAW_LEG_TYPES.items()])
+    """The leg columns of raw CSV files."""
+    return typed_legs(spark.read.option("header", True).csv(list(paths)))
 
 
 def month_paths(root: str, years: Sequence[int], months: Sequence[int] = tuple(range(1, 13))) -> list[str]:
@@ -96,10 +101,7 @@ def read_months(
         return spark.createDataFrame([], f"{kinds}, source_file string")
     # parentheses in the file names are no glob pattern, so the names can be passed as they are
     texts = spark.read.option("header", True).csv(present)
-    return texts.select(
-        *[_required(n, kind) for n, kind in RAW_LEG_TYPES.items()],
-        F.col("_metadata.file_name").alias("source_file"),
-    )
+    return typed_legs(texts, F.col("_metadata.file_name").alias("source_file"))
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
