@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from legwork.operators import chain, evaluate, graph, history, neighbors, ranking, reshape, runs, scale, series, split, state
+from legwork.operators import chain, encode, evaluate, graph, history, neighbors, profile, ranking, reshape, runs, scale, series, split, state
+from legwork.plans import tuning
 from legwork.registry import base
 from legwork.registry import history as history_queries
 
@@ -45,10 +46,10 @@ def test_exact_quantiles(points):
         assert np.allclose(got[k], np.quantile(values, [0.25, 0.5]))
 
 
-@pytest.mark.parametrize("limit", [10, 700, 10**6])
-def test_previous_row_crosses_cells(points, limit):
+@pytest.mark.parametrize("cell", [1, 7, 10**6])
+def test_previous_row_crosses_cells(points, cell):
     rows, df = points
-    found = ranking.previous_row(df, "k", F.floor(F.col("id") / 7), ["id"], ["id"], "prev", limit).collect()
+    found = ranking.previous_row(df, "k", F.floor(F.col("id") / cell), ["id"], ["id"], "prev").collect()
     assert len(found) == len(rows)
     last = {}
     for r in sorted(found, key=lambda r: r["id"]):
@@ -270,3 +271,28 @@ def test_confusion_covers_every_row(spark):
 def test_candidate_names(spark):
     df = spark.createDataFrame([(0, 1, 0.5), (1, 1, 0.6), (2, 3, 0.1)], "candidate_index int, rank_test_score int, mean_test_score double")
     assert {r["candidate_index"]: r["name"] for r in runs.rank_candidates(df).collect()} == {1: "tuned_model1", 0: "tuned_model2", 2: "tuned_model3"}
+
+
+def test_mode_of_long_text_is_the_text(spark):
+    rows = [("x" * 70, 1), ("x" * 70, 1), ("y" * 100, 1), (None, 1)]
+    found = {r["column"]: r for r in profile.unique_profile(spark.createDataFrame(rows, "t string, n int")).collect()}
+    assert (found["t"]["mode"], found["t"]["unique_values"], found["t"]["mode_share"]) == ("x" * 70, 2, 0.5)
+    assert found["n"]["mode"] == "1"
+    constant = profile.constant_columns(spark.createDataFrame(rows, "t string, n int")).collect()
+    assert [(r["column"], r["unique_count"]) for r in constant] == [("n", 1)]
+
+
+def test_many_categories(spark):
+    df = spark.range(2500).select(F.concat(F.lit("c"), "id").alias("c"))
+    assert len(encode.fit_categories(df, ["c"])["c"]) == 2500
+
+
+def test_ids_are_spread(spark):
+    ids = graph.all_ids(spark.createDataFrame([(5000,), (3,)], "id bigint"))
+    assert ids.count() == 5001
+    assert ids.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_penalty_follows_the_weighted_rows(spark):
+    rows = spark.range(50).select(F.lit(2.0).alias("weight"))
+    assert tuning.penalty(0.5, rows) == pytest.approx(1 / (0.5 * 100))
