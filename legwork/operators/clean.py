@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from legwork.functions import times as t
 from legwork.functions.scalars import same
+from legwork.operators.ranking import positions
 from legwork.schemas import HOURS_BEFORE, SCOPE_AIRLINES, SCOPE_AIRPORTS
 
 
@@ -16,6 +17,18 @@ def in_scope(legs: DataFrame, airlines=SCOPE_AIRLINES, airports=SCOPE_AIRPORTS)
     return legs.filter(F.col("Reporting_Airline").isin(airlines) & touches)
 
 
+def add_flight_id(raw: DataFrame) -> DataFrame:
+    """Adds FlightID, the place of each record in order of day, planned time and all other columns.
+
+    Only equal records can swap their ids between runs. Days and hours are counted first, so
+    no task orders more than the records of one hour of one day.
+    """
+    first = ["FlightDate", "CRSDepTime", "Reporting_Airline", "Flight_Number_Reporting_Airline"]
+    order = first + [c for c in raw.columns if c not in first]
+    cells = [F.coalesce("FlightDate", F.lit("")), F.floor(F.col("CRSDepTime") / 100)]
+    return positions(raw, [], cells, order, "FlightID").withColumn("FlightID", F.col("FlightID").cast("bigint"))
+
+
 def between_listed(legs: DataFrame, airports=SCOPE_AIRPORTS) -> DataFrame:
     """Legs whose two ends are listed."""
     return legs.filter(F.col("Origin").isin(airports) & F.col("Dest").isin(airports))

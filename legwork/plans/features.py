@@ -1,4 +1,4 @@
-"""Raw months -> cleaned legs -> feature table."""
+"""Cleaned legs -> feature table; plans.ingest starts from the raw months."""
 
 from __future__ import annotations
 

@@ -8,7 +8,7 @@ from legwork.registry.base import ENTRIES
 
 MODULES = [
     "cleaning", "history", "chain", "state", "calendar", "profiling", "shaping",
-    "scoring", "graphs", "modeling", "storage", "streams",
+    "scoring", "graphs", "storage", "feature_rows", "modeling", "records", "streams",
 ]
 
 

@@ -17,6 +17,25 @@ _FLOAT_SQL = " UNION ALL ".join(
     f"SELECT y, {_NTH.format(m=m, w=w, n=n)} AS day FROM years WHERE y >= {f}"
     for m, w, n, f in ((1, 1, 3, 1986), (2, 1, 3, 1971), (9, 1, 1, 1894), (10, 1, 2, 1971), (11, 4, 4, 1942))
 )
+_HELD = {
+    "fixed": _FIXED_SQL,
+    "observed": """
+SELECT y, CASE isodow(day) WHEN 6 THEN day - 1 WHEN 7 THEN day + 1 END AS day FROM
+  (SELECT * FROM fixed UNION ALL SELECT y, make_date(y + 1, 1, 1) FROM years) WHERE isodow(day) >= 6""",
+    "held": f"""
+SELECT CAST(day AS DATE) AS day FROM (
+  SELECT * FROM fixed UNION ALL SELECT * FROM observed UNION ALL {_FLOAT_SQL}
+  UNION ALL SELECT y, last_day(make_date(y, 5, 1)) - CAST((isodow(last_day(make_date(y, 5, 1))) - 1) % 7 AS INTEGER) FROM years
+  UNION ALL SELECT y, make_date(y, 12, 24) FROM years UNION ALL SELECT y, make_date(y, 12, 31) FROM years)
+WHERE year(day) = y""",
+}
+HOLIDAY_SQL = sql(["train"], """
+SELECT FlightID, CAST(d AS INTEGER) AS DaysToNearestHoliday, CASE WHEN d = 0 THEN 1 ELSE 0 END AS IsHoliday
+FROM train JOIN (SELECT FlightDate, min(abs(date_diff('day', CAST(FlightDate AS DATE), h))) AS d
+  FROM (SELECT DISTINCT FlightDate FROM train), (SELECT DISTINCT day AS h FROM held) GROUP BY FlightDate) USING (FlightDate)""",
+    years="""
+SELECT unnest(range(CAST(year(min(CAST(FlightDate AS DATE))) AS BIGINT), CAST(year(max(CAST(FlightDate AS DATE))) AS BIGINT) + 1))::INTEGER AS y
+FROM train""", **_HELD)
 
 
 @query("holiday_nearest", sql([], """
@@ -26,15 +45,7 @@ FROM orders JOIN (SELECT day AS o_day, min(abs(date_diff('day', day, h))) AS d
   FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders), (SELECT DISTINCT day AS h FROM held) GROUP BY day)
 ON CAST(o_orderdate AS DATE) = o_day""", years="""
 SELECT unnest(range(CAST(year(min(o_orderdate)) AS BIGINT), CAST(year(max(o_orderdate)) AS BIGINT) + 1))::INTEGER AS y FROM orders""",
-    fixed=_FIXED_SQL, observed="""
-SELECT y, CASE isodow(day) WHEN 6 THEN day - 1 WHEN 7 THEN day + 1 END AS day FROM
-  (SELECT * FROM fixed UNION ALL SELECT y, make_date(y + 1, 1, 1) FROM years) WHERE isodow(day) >= 6""",
-    held=f"""
-SELECT CAST(day AS DATE) AS day FROM (
-  SELECT * FROM fixed UNION ALL SELECT * FROM observed UNION ALL {_FLOAT_SQL}
-  UNION ALL SELECT y, last_day(make_date(y, 5, 1)) - CAST((isodow(last_day(make_date(y, 5, 1))) - 1) % 7 AS INTEGER) FROM years
-  UNION ALL SELECT y, make_date(y, 12, 24) FROM years UNION ALL SELECT y, make_date(y, 12, 31) FROM years)
-WHERE year(day) = y"""))
+    **_HELD))
 def holiday_nearest(spark, d):
     orders = views.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("leg"), day_text("o_orderdate").alias("day")

@@ -53,33 +53,33 @@ def hist_delay_origin(spark, d):
     )
 
 
-def _per_leg(table, prefix, group, columns):
+def group_sql(table, prefix, group, columns):
     picks = ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in columns)
     return sql(["train", table], f"""
 SELECT FlightID, {picks} FROM train t LEFT JOIN hist ON hist.FlightDate = t.FlightDate AND hist.grp = t.{group}""",
                hist=_hist_sql(table, prefix))
 
 
-def _hist_names(prefix):
+def hist_names(prefix):
     return [f"hist_{prefix}_delay{s}" for s in ("", "_7d", "_30d")]
 
 
-@query("hist_delay_carrier", _per_leg("by_airline", "airline", "Reporting_Airline", _hist_names("airline")))
+@query("hist_delay_carrier", group_sql("by_airline", "airline", "Reporting_Airline", hist_names("airline")))
 def hist_delay_carrier(spark, d):
     rows = history.add_group_history(train(spark, d), "Reporting_Airline", "airline", lags=False)
-    return rows.select("FlightID", *rounded(*_hist_names("airline")))
+    return rows.select("FlightID", *rounded(*hist_names("airline")))
 
 
-@query("hist_delay_dest", _per_leg("by_dest", "dest", "Dest", _hist_names("dest")))
+@query("hist_delay_dest", group_sql("by_dest", "dest", "Dest", hist_names("dest")))
 def hist_delay_dest(spark, d):
     rows = history.add_group_history(train(spark, d), "Dest", "dest", lags=False)
-    return rows.select("FlightID", *rounded(*_hist_names("dest")))
+    return rows.select("FlightID", *rounded(*hist_names("dest")))
 
 
 _LAGS = ["origin_yesterday_delay", "origin_lastweek_delay"]
 
 
-@query("lag_delay_group", _per_leg("by_origin", "origin", "Origin", _LAGS))
+@query("lag_delay_group", group_sql("by_origin", "origin", "Origin", _LAGS))
 def lag_delay_group(spark, d):
     rows = train(spark, d)
     daily = history.add_day_lags(history.daily_mean(rows, "Origin"), "Origin", "origin")

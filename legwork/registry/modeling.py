@@ -1,29 +1,12 @@
-"""Feature table, model fits and the search over them."""
+"""Model fits and the search over them."""
 
 from pyspark.sql import functions as F
 
 from legwork.operators import evaluate
-from legwork.plans import features, models, training, tuning
-from legwork.registry.base import legs, query, staged
+from legwork.plans import models, training, tuning
+from legwork.registry.base import query
+from legwork.registry.feature_rows import feature_rows
 from legwork.schemas import DELAY_CLASSES
-from legwork.sources import views
-
-
-def build_features(spark, d):
-    return features.feature_table(
-        legs(spark, d), views.airports(spark, d), views.station_weather(spark, d),
-        views.VIEW_SCOPE_AIRPORTS, min_year=2014, keep_keys=True,
-    )
-
-
-def feature_rows(spark, d):
-    """The feature table, read from the table that the feature job writes."""
-    return staged(spark, d, "features", lambda: build_features(spark, d))
-
-
-@query("feature_table")
-def feature_table(spark, d):
-    return build_features(spark, d)
 
 
 def _prepared(spark, d):

@@ -2,16 +2,25 @@
 
 from pyspark.sql import functions as F
 
-from legwork.plans import training
 from legwork.registry.base import query, raw, sql
-from legwork.registry.modeling import feature_rows
 from legwork.schemas import RAW_LEG_TYPES
 from legwork.session import scratch_path
-from legwork.sources import runs, sinks, tables, views
+from legwork.sources import sinks, tables, views
 
 _COLS = ", ".join(f'"{c}"' for c in RAW_LEG_TYPES)
 
 
+def written_months(spark, d):
+    """The raw records as one file per month of the source, and their years."""
+    root = scratch_path(spark, "months")
+    rows = raw(spark, d).drop("FlightID")
+    months = sorted(tuple(r) for r in rows.select("Year", "Month").distinct().collect())
+    for year, month in months:  # absent months are skipped by the reader
+        part = rows.filter((F.col("Year") == year) & (F.col("Month") == month))
+        sinks.write_csv(part, tables.month_paths(root, [year], [month])[0])
+    return root, sorted({y for y, _ in months})
+
+
 @query("csv_roundtrip", sql(["raw"], f"SELECT {_COLS} FROM raw"))
 def csv_roundtrip(spark, d):
     path = sinks.write_csv(raw(spark, d).drop("FlightID"), scratch_path(spark, "raw") + ".csv")
@@ -21,13 +30,7 @@ def csv_roundtrip(spark, d):
 @query("month_scan", sql(["raw"], """
 SELECT "Year", "Month", CAST(count(*) AS BIGINT) AS legs, CAST(sum(Distance) AS BIGINT) AS distance FROM raw GROUP BY ALL"""))
 def month_scan(spark, d):
-    root = scratch_path(spark, "months")
-    rows = raw(spark, d).drop("FlightID")
-    months = sorted(tuple(r) for r in rows.select("Year", "Month").distinct().collect())
-    for year, month in months:  # one file per month of the source; the others are absent and skipped
-        part = rows.filter((F.col("Year") == year) & (F.col("Month") == month))
-        sinks.write_csv(part, tables.month_paths(root, [year], [month])[0])
-    found = tables.read_months(spark, root, sorted({y for y, _ in months}))
+    found = tables.read_months(spark, *written_months(spark, d))
     return found.groupBy("Year", "Month").agg(
         F.count(F.lit(1)).alias("legs"), F.sum("Distance").cast("bigint").alias("distance"))
 
@@ -80,24 +83,3 @@ def preview(spark, d):
 def json_rows(spark, d):
     nation = views.table(spark, d, "nation")
     return nation.select("n_nationkey", F.to_json(F.struct(*nation.columns)).alias("json"))
-
-
-def _trained(spark, d):
-    output = scratch_path(spark, "output")
-    rows = feature_rows(spark, d)
-    training.run_training(rows, training.TrainingConfig(model_name="naive_bayes"), output)
-    return output
-
-
-@query("run_record_roundtrip")
-def run_record_roundtrip(spark, d):
-    records = runs.read_runs(spark, [_trained(spark, d)])
-    flat = runs.flatten_runs(records).select(
-        "model_name", "tuned", "train_rows", "validation_rows", "test_rows", "feature_count")
-    return flat.join(runs.run_metrics(records).drop("run_id"), "model_name")
-
-
-@query("metric_log")
-def metric_log(spark, d):
-    stored = spark.read.parquet(f"{_trained(spark, d)}/metrics")
-    return stored.select("model_name", "split", "metric", F.round("value", 6).alias("value"))
