@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from legwork.operators.ranking import positions, split_hot_keys
+from legwork.operators.ranking import positions
 from legwork.schemas import DELAY_COLUMN
 
-# tasks get the functions of this module by value, so executors need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def daily_mean(
     legs: DataFrame, group: str | None, value: str = DELAY_COLUMN, name: str = "daily_mean"
@@ -94,132 +86,68 @@ def flight_number() -> Column:
     return F.concat("Reporting_Airline", F.col("Flight_Number_Reporting_Airline").cast("string"))
 
 
-def add_flight_history(
-    legs: DataFrame, value: str = DELAY_COLUMN, hot_limit: int = 4096
-) -> DataFrame:
+def add_flight_history(legs: DataFrame, value: str = DELAY_COLUMN, run_legs: int = 4096) -> DataFrame:
     """Mean, median and count of the earlier legs and of the last 30 legs per flight number.
 
-    Flight numbers with up to ``hot_limit`` legs are windowed as they are. Larger ones
-    are cut into runs of ``hot_limit`` legs that carry the 30 legs before them and a
-    summary of everything earlier, so no task holds a whole large key.
+    Every flight number is cut into runs of ``run_legs`` legs (30 at least), so no task holds
+    a whole large key. A run starts with a summary of everything earlier, as values with
+    counts, and the 30 legs before it. A leg without a flight number has no history.
     """
     keyed = legs.withColumn("_flg", flight_number())
-    light, hot = split_hot_keys(keyed, "_flg", hot_limit)
-    result = _flight_windows(light, value).unionByName(_flight_runs(hot, value, hot_limit))
-    return result.drop("_flg").fillna(0.0, subset=FLIGHT_HISTORY)
-
-
-def _flight_windows(legs: DataFrame, value: str) -> DataFrame:
-    order = Window.partitionBy("_flg").orderBy(*FLIGHT_ORDER)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    recent = order.rowsBetween(-30, -1)
-    half = F.lit(0.5)
-    return legs.withColumns(
-        {
-            "hist_flg_delay": F.avg(value).over(earlier),
-            "hist_flg_median_delay": F.percentile(value, half).over(earlier),
-            "hist_flg_count_delay": F.count(value).over(earlier).cast("double"),
-            "hist_flg_delay_30d": F.avg(value).over(recent),
-            "hist_flg_median_delay_30d": F.percentile(value, half).over(recent),
-            "hist_flg_count_delay_30d": F.count(value).over(recent).cast("double"),
-        }
-    )
-
-
-def _flight_runs(legs: DataFrame, value: str, size: int) -> DataFrame:
     hour = F.date_trunc("HOUR", "CRSDepDateTime_UTC")
-    placed = positions(legs, ["_flg"], [F.col("FlightDate"), hour], FLIGHT_ORDER, "_pos")
-    placed = placed.withColumn("_run", F.floor(F.col("_pos") / size))
-
-    # last 30 legs of a run are shown to the next run as well
-    tail = F.col("_pos") % size >= size - 30
-    runs = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    shown = placed.select("*", F.explode(runs).alias("_ahead"))
-    shown = shown.withColumn("_run", F.col("_run") + F.col("_ahead"))
-    recent = Window.partitionBy("_flg", "_run").orderBy("_pos").rowsBetween(-30, -1)
-    near = shown.withColumns(
+    known = keyed.filter(F.col("_flg").isNotNull())
+    placed = positions(known, ["_flg"], [F.col("FlightDate"), hour], FLIGHT_ORDER, "_pos")
+    placed = placed.withColumns({"_run": F.floor(F.col("_pos") / run_legs), "_v": F.col(value).cast("double")})
+
+    # kinds in their order within a run: 0 summary, 1 leg of the run before, 2 leg of the run
+    last = F.col("_pos") % run_legs >= run_legs - 30
+    kinds = F.when(last, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    shown = placed.select("*", F.explode(kinds).alias("_kind")).withColumns(
         {
-            "hist_flg_delay_30d": F.avg(value).over(recent),
-            "hist_flg_median_delay_30d": F.percentile(value, F.lit(0.5)).over(recent),
-            "hist_flg_count_delay_30d": F.count(value).over(recent).cast("double"),
+            "_run": F.when(F.col("_kind") == 1, F.col("_run") + 1).otherwise(F.col("_run")),
+            "_n": F.when(F.col("_kind") == 1, 0).otherwise(1).cast("bigint"),
         }
-    ).filter("_ahead = 0").drop("_ahead")
-
-    # sums of the runs before
-    per_run = placed.groupBy("_flg", "_run").agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    before = Window.partitionBy("_flg").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    per_run = per_run.select(
-        "_flg",
-        "_run",
-        F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s0"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
     )
-    inside = Window.partitionBy("_flg", "_run").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    count = F.col("_n0") + F.count(value).over(inside)
-    total = F.col("_s0") + F.coalesce(F.sum(value).over(inside), F.lit(0.0))
-    far = near.join(per_run, ["_flg", "_run"]).withColumns(
+    rows = shown.unionByName(_earlier_values(placed), allowMissingColumns=True)
+
+    run = Window.partitionBy("_flg", "_run").orderBy("_kind", "_pos")
+    earlier = run.rowsBetween(Window.unboundedPreceding, -1)
+    recent = run.rowsBetween(-30, -1)
+    count = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))).over(earlier)
+    half = F.lit(0.5)
+    result = rows.withColumns(
         {
+            "hist_flg_delay": F.when(count > 0, F.sum(F.col("_v") * F.col("_n")).over(earlier) / count),
+            "hist_flg_median_delay": F.percentile("_v", half, F.col("_n")).over(earlier),
             "hist_flg_count_delay": count.cast("double"),
-            "hist_flg_delay": F.when(count > 0, total / count),
+            "hist_flg_delay_30d": F.avg("_v").over(recent),
+            "hist_flg_median_delay_30d": F.percentile("_v", half).over(recent),
+            "hist_flg_count_delay_30d": F.count("_v").over(recent).cast("double"),
         }
-    ).drop("_s0", "_n0")
-
-    medians = _running_medians(placed.select("_flg", "_run", "_pos", F.col(value).alias("_v")))
-    return far.join(medians, ["_flg", "_run", "_pos"]).drop("_run", "_pos")
+    ).filter("_kind = 2").drop("_pos", "_run", "_v", "_kind", "_n")
+    unknown = keyed.filter(F.col("_flg").isNull())
+    result = result.unionByName(unknown, allowMissingColumns=True)
+    return result.drop("_flg").fillna(0.0, subset=FLIGHT_HISTORY)
 
 
-def _running_medians(rows: DataFrame) -> DataFrame:
-    """Median of all earlier values per position, run by run.
+def _earlier_values(placed: DataFrame) -> DataFrame:
+    """Values with their counts in all runs before, for every run but the first.
 
-    The values of earlier runs arrive as (value, count) pairs; minutes take few distinct
-    values, so the pairs stay far fewer than the legs they stand for.
+    Minutes take few distinct values, so these rows stay fewer than the legs they stand for.
     """
-    seen = rows.filter("_v IS NOT NULL").groupBy("_flg", "_run", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    seen = placed.filter("_v IS NOT NULL").groupBy("_flg", "_run", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    last_run = placed.groupBy("_flg").agg(F.max("_run").alias("_last")).filter("_last > 0")
     by_value = Window.partitionBy("_flg", "_v").orderBy("_run")
-    last_run = rows.groupBy("_flg").agg(F.max("_run").alias("_last"))
-    # cumulative count of a value holds from the run after this one up to its next change
+    # a cumulative count holds from the run after this one up to the next change
     steps = seen.join(last_run, "_flg").select(
         "_flg",
         "_v",
-        F.sum("_c").over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias("_c"),
+        F.sum("_c").over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias("_n"),
         (F.col("_run") + 1).alias("_from"),
         F.coalesce(F.lead("_run").over(by_value), F.col("_last")).alias("_to"),
     ).filter("_from <= _to")
-    earlier = steps.select(
-        F.col("_flg").alias("key"),
-        F.explode(F.sequence("_from", "_to")).alias("run"),
-        F.col("_v").alias("value"),
-        F.col("_c").alias("count"),
-    )
-    return (
-        rows.toDF("_flg", "_run", "_pos", "_v").groupBy("_flg", "_run")
-        .cogroup(earlier.groupBy("key", "run"))
-        .applyInPandas(_medians_of_run, "_flg string, _run bigint, _pos bigint, hist_flg_median_delay double")
-    )
-
-
-def _medians_of_run(run: pd.DataFrame, earlier: pd.DataFrame) -> pd.DataFrame:
-    if run.empty:
-        return pd.DataFrame({"_flg": [], "_run": [], "_pos": [], "hist_flg_median_delay": []})
-    run = run.sort_values("_pos")
-    new = run["_v"].to_numpy(dtype=float)
-    old = earlier["value"].to_numpy(dtype=float)
-    values = np.unique(np.concatenate([old, new[~np.isnan(new)]]))
-    counts = np.zeros(len(values), dtype=np.int64)
-    np.add.at(counts, np.searchsorted(values, old), earlier["count"].to_numpy(dtype=np.int64))
-    out = np.full(len(new), np.nan)
-    n = int(counts.sum())
-    for i, v in enumerate(new):
-        if n:
-            cumulative = np.cumsum(counts)
-            low = values[np.searchsorted(cumulative, (n - 1) // 2, side="right")]
-            high = values[np.searchsorted(cumulative, n // 2, side="right")]
-            out[i] = (low + high) / 2
-        if not np.isnan(v):
-            counts[np.searchsorted(values, v)] += 1
-            n += 1
-    return pd.DataFrame(
-        {"_flg": run["_flg"], "_run": run["_run"], "_pos": run["_pos"], "hist_flg_median_delay": out}
+    return steps.select(
+        "_flg", "_v", "_n", F.explode(F.sequence("_from", "_to")).alias("_run"), F.lit(0).alias("_kind")
     )
 
 

@@ -220,10 +220,3 @@ def previous_row(
     linked = linked.drop("_cell", "_carried")
     blank = F.lit(None).cast(linked.schema[name].dataType)
     return linked.unionByName(df.filter(F.col(key).isNull()).withColumn(name, blank))
-
-
-def split_hot_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of keys with at most ``limit`` rows, and the rows of the larger keys."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counted.filter(F.col("_n") > limit).select(key)
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")

@@ -60,8 +60,8 @@ def test_previous_row_crosses_cells(points, cell):
 def test_flight_history_of_hot_keys_equals_windows(spark):
     legs = history_queries.train(spark, SF).withColumn("Flight_Number_Reporting_Airline", F.lit(1))
     names = ["FlightID", *history.FLIGHT_HISTORY]
-    cut = history.add_flight_history(legs, hot_limit=40).select(*names).orderBy("FlightID").toPandas()
-    plain = history.add_flight_history(legs, hot_limit=10**6).select(*names).orderBy("FlightID").toPandas()
+    cut = history.add_flight_history(legs, run_legs=40).select(*names).orderBy("FlightID").toPandas()
+    plain = history.add_flight_history(legs, run_legs=10**6).select(*names).orderBy("FlightID").toPandas()
     assert len(cut) == len(plain) > 300
     np.testing.assert_allclose(cut.to_numpy(float), plain.to_numpy(float), rtol=1e-9)
 
