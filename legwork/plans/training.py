@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from datetime import datetime, timezone
 
 from pyspark.ml import Model
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from legwork import schemas
 from legwork.functions.times import minute_of_day
 from legwork.operators import encode, evaluate, scale, split, target
+from legwork.plans import tuning
 from legwork.plans.models import FEATURES, LABEL, RULES, feature_importances, make_model, with_weights
 from legwork.session import cut_lineage
 from legwork.sources import sinks
@@ -33,6 +35,10 @@ class TrainingConfig:
     val_size: float = 0.15
     time_threshold: str | None = None
     model_params: dict = field(default_factory=dict)
+    tune: bool = False
+    n_iter: int = 20
+    cv_splits: int = 3
+    store_tuned: bool = True
 
 
 @dataclass
@@ -82,7 +88,14 @@ def encode_rows(rows: DataFrame, config: TrainingConfig) -> tuple[DataFrame, lis
 
 
 def prepare(features: DataFrame, config: TrainingConfig) -> Prepared:
-    """Everything up to the fit; the encoded rows are written once, all models read them."""
+    """Everything up to the fit; the encoded rows are written once, all models read them.
+
+    A recorded feature that the table lacks is left out with a warning.
+    """
+    found = schemas.check_columns(features.columns)
+    lost = [c for c in found["missing"] if c in schemas.FEATURE_COLUMNS]
+    if lost:
+        warnings.warn(f"The table has no column {', '.join(lost)}", stacklevel=2)
     rows = cut_lineage(label_and_split(features, config))
     coded, names, params, categories = encode_rows(rows, config)
     assembler = VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error")
@@ -122,27 +135,54 @@ def split_metrics(scored: DataFrame, run_id: str, model_name: str) -> DataFrame:
 def run_training(features: DataFrame, config: TrainingConfig, output: str | None = None) -> DataFrame:
     """Trains and scores one model; with ``output`` the run is written below it.
 
-    Returns the long metric table.
+    With ``tune`` the settings and class weights come from a random search on time folds of
+    the train split, and the first candidate is fitted again on all of it. Returns the long
+    metric table.
     """
     spark = features.sparkSession
     prepared = prepare(features, config)
-    scored, model = predict(prepared, config.model_name, **config.model_params)
+    tuned, results = None, None
+    if config.tune:
+        if config.model_name in RULES:
+            raise ValueError(f"{config.model_name} has nothing to tune")
+        results = cut_lineage(tuning.random_search(
+            prepared, config.model_name, features, config.time_column, config.id_column,
+            config.n_iter, config.cv_splits, fixed=config.model_params,
+        ))
+        first = results.orderBy("position").first()
+        model = tuning.refit(prepared, config.model_name, first, config.model_params)
+        scored = model.transform(prepared.rows)
+        tuned = {
+            "scoring": "macro_f2", "n_iter": config.n_iter, "cv_splits": config.cv_splits,
+            "best_score": first["mean_test_score"],
+            "best_params": first["params"] | {c: str(first[c]) for c in results.columns if c.startswith("param_")},
+        }
+    else:
+        scored, model = predict(prepared, config.model_name, **config.model_params)
     run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%SZ}_{config.model_name}"
     metrics = cut_lineage(split_metrics(scored, run_id, config.model_name))
     if output is not None:
         run_dir = f"{output}/runs/{run_id}"
+        reports = {part: f"{run_dir}/classification_report_{part}" for part in ("train", "validation", "test")}
+        artifacts = {"scaler": f"{run_dir}/scaler", "reports": reports}
         if model is not None:
-            model.write().overwrite().save(f"{run_dir}/model")
+            artifacts["model"] = f"{run_dir}/model"
+            model.write().overwrite().save(artifacts["model"])
+        if results is not None and config.store_tuned:
+            artifacts["tuned_models"] = tuning.store_candidates(
+                prepared, config.model_name, results, f"{run_dir}/tuned_models", model, config.model_params
+            )
         sinks.write_parquet(prepared.scaler, f"{run_dir}/scaler")
         names = prepared.names
         top = feature_importances(spark, model, names, 30) if model is not None else None
-        record = run_record(spark, run_id, config, prepared, metrics, top)
+        record = run_record(spark, run_id, config, prepared, metrics, top, tuned, artifacts)
         sinks.write_json(record, f"{run_dir}/run_info.json")
-        for part in ("train", "validation", "test"):
+        for part, path in reports.items():
             counts = evaluate.pair_counts(scored.filter(F.col("split") == part))
-            report = evaluate.class_report(evaluate.per_class(counts))
-            sinks.write_csv(report, f"{run_dir}/classification_report_{part}")
+            sinks.write_csv(evaluate.class_report(evaluate.per_class(counts)), path)
         sinks.append_metrics(metrics, f"{output}/metrics")
+        settings = [(run_id, f.name, str(getattr(config, f.name))) for f in fields(config)]
+        sinks.append_metrics(spark.createDataFrame(settings, "run_id string, name string, value string"), f"{output}/params")
     return metrics
 
 
@@ -153,7 +193,8 @@ def run_record(
     prepared: Prepared,
     metrics: DataFrame,
     importances: DataFrame | None = None,
-    tuning: dict | None = None,
+    tuned: dict | None = None,
+    artifacts: dict | None = None,
 ) -> DataFrame:
     """One nested row that describes the run."""
     counts = {r["split"]: r["count"] for r in prepared.rows.groupBy("split").count().collect()}
@@ -162,7 +203,7 @@ def run_record(
     gaps = {r["gap"]: r["value"] for r in evaluate.overfit_gaps(metrics, ["run_id"]).collect()}
     weights = {str(int(r["label"])): r["weight"] for r in prepared.weights.collect()}
     top = [(r["feature"], r["importance"]) for r in importances.collect()] if importances is not None else []
-    tuning = tuning or {}
+    tuned, artifacts = tuned or {}, artifacts or {}
     schema = (
         "run_id string, created_at_utc string, "
         "data struct<sample_frac:double,target_column:string,delay_column:string,time_column:string>, "
@@ -171,7 +212,8 @@ def run_record(
         "model struct<name:string,class_name:string,parameters:map<string,string>,class_weights:map<string,double>>, "
         "tuning struct<enabled:boolean,scoring:string,n_iter:int,cv_splits:int,best_score:double,best_params:map<string,string>>, "
         "metrics struct<train:map<string,double>,validation:map<string,double>,test:map<string,double>,overfit_gaps:map<string,double>>, "
-        "feature_importances_top_30 array<struct<feature:string,importance:double>>"
+        "feature_importances_top_30 array<struct<feature:string,importance:double>>, "
+        "artifacts struct<model:string,scaler:string,reports:map<string,string>,tuned_models:array<string>>"
     )
     names = prepared.names
     row = (
@@ -183,10 +225,11 @@ def run_record(
         list(schemas.DELAY_CLASSES),
         (config.model_name, "rule" if config.model_name in RULES else "mllib",
          {k: str(v) for k, v in config.model_params.items()}, weights),
-        (bool(tuning), tuning.get("scoring"), tuning.get("n_iter"), tuning.get("cv_splits"),
-         tuning.get("best_score"), tuning.get("best_params")),
+        (bool(tuned), tuned.get("scoring"), tuned.get("n_iter"), tuned.get("cv_splits"),
+         tuned.get("best_score"), tuned.get("best_params")),
         (by_split.get("train"), by_split.get("validation"), by_split.get("test"), gaps),
         top,
+        tuple(artifacts.get(k) for k in ("model", "scaler", "reports", "tuned_models")),
     )
     return spark.createDataFrame([row], schema)
 

@@ -31,22 +31,27 @@ def model_rule(spark, d):
 
 @query("logreg")
 def logreg(spark, d):
-    return _scores(spark, d, "logistic_regression", maxIter=50)
+    return _scores(spark, d, "logistic_regression")
 
 
 @query("logreg_scaled")
 def logreg_scaled(spark, d):
-    return _scores(spark, d, "logistic_regression_pipeline", maxIter=50)
+    return _scores(spark, d, "logistic_regression_pipeline")
 
 
 @query("forest")
 def forest(spark, d):
-    return _scores(spark, d, "random_forest", numTrees=20, maxDepth=10)
+    return _scores(spark, d, "random_forest")
 
 
 @query("boosted")
 def boosted(spark, d):
-    return _scores(spark, d, "hist_gradient_boosting", maxIter=5, maxDepth=4)
+    return _scores(spark, d, "hist_gradient_boosting")
+
+
+@query("xgboost")
+def xgboost(spark, d):
+    return _scores(spark, d, "xgboost")
 
 
 @query("bayes")
@@ -56,31 +61,30 @@ def bayes(spark, d):
 
 @query("svc_linear")
 def svc_linear(spark, d):
-    return _scores(spark, d, "svc", maxIter=20)
+    return _scores(spark, d, "svc")
 
 
 @query("mlp")
 def mlp(spark, d):
-    return _scores(spark, d, "neural_network", hidden=(64, 32), maxIter=30)
+    return _scores(spark, d, "neural_network")
 
 
 @query("tree")
 def tree(spark, d):
-    return _scores(spark, d, "decision_tree", maxDepth=10)
+    return _scores(spark, d, "decision_tree")
 
 
 @query("importances")
 def importances(spark, d):
     prepared = _prepared(spark, d)
-    model = training.fit_model(prepared, "random_forest", numTrees=20, maxDepth=8)
+    model = training.fit_model(prepared, "random_forest")
     return models.feature_importances(spark, model, prepared.names, 30)
 
 
 @query("model_comparison")
 def model_comparison(spark, d):
-    names = ["logistic_regression", "naive_bayes", "decision_tree"]
-    limits = {"logistic_regression": {"maxIter": 30}, "decision_tree": {"maxDepth": 8}}
-    return training.compare_models(_prepared(spark, d), names, limits)
+    names = ["logistic_regression", "naive_bayes", "decision_tree", "random_forest", "hist_gradient_boosting"]
+    return training.compare_models(_prepared(spark, d), names)
 
 
 @query("model_auc")
@@ -99,5 +103,5 @@ def random_search(spark, d):
     rows = feature_rows(spark, d)
     return tuning.random_search(
         _prepared(spark, d), "logistic_regression", rows, "CRSDepDateTime_UTC", "FlightID",
-        n_iter=3, folds=3, fixed={"maxIter": 20},
+        n_iter=3, folds=3,
     )

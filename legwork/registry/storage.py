@@ -79,7 +79,7 @@ def preview(spark, d):
     return tables.preview(views.table(spark, d, "events"), 1000)
 
 
-@query("json_rows")
+@query("json_rows", "SELECT n_nationkey, CAST(to_json(nation) AS VARCHAR) AS json FROM nation")
 def json_rows(spark, d):
     nation = views.table(spark, d, "nation")
     return nation.select("n_nationkey", F.to_json(F.struct(*nation.columns)).alias("json"))

@@ -54,6 +54,6 @@ def copy_raw_months(raw: DataFrame, root: str) -> str:
 
 
 def append_metrics(metrics: DataFrame, path: str) -> str:
-    """Adds rows (run_id, model_name, split, metric, value) to the long metric table."""
+    """Adds rows to a long table of metrics or settings."""
     metrics.write.mode("append").parquet(path)
     return path

@@ -1,12 +1,18 @@
 """Readers, writers, models: guards and round trips."""
 
 import io
+import os
+import random
 import zipfile
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from legwork import schemas
-from legwork.plans import models, tuning
+from legwork.operators import clean
+from legwork.plans import models, training, tuning
 from legwork.sources import archive, runs, tables
 
 
@@ -57,3 +63,49 @@ def test_draws_are_seeded():
     assert all(1e-3 <= c["settings"]["C"] <= 10 for c in a)
     low, high = tuning.CLASS_WEIGHT_RANGES[3]
     assert all(low <= c["weights"][3] <= high for c in a)
+
+
+def test_tuned_run_is_recorded(spark, tmp_path):
+    draw = random.Random(1)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(240):
+        distance = float(draw.randrange(4))
+        delay = [0.0, 30.0, 100.0, 300.0][int(distance)]
+        rows.append((i, start + timedelta(hours=i), delay, distance, "AB"[i % 2]))
+    table = spark.createDataFrame(
+        rows, "FlightID bigint, CRSDepDateTime_UTC timestamp_ntz, ArrDelayMinutes double, Distance double, Origin string")
+    config = training.TrainingConfig(model_name="decision_tree", tune=True, n_iter=2, cv_splits=2)
+    with pytest.warns(UserWarning, match="no column"):
+        metrics = training.run_training(table, config, str(tmp_path))
+    accuracy = {r["split"]: r["value"] for r in metrics.filter("metric = 'accuracy'").collect()}
+    assert accuracy["test"] == 1.0
+    record = runs.read_runs(spark, [str(tmp_path)]).first()
+    assert record["tuning"]["enabled"] and record["tuning"]["n_iter"] == 2 and record["tuning"]["best_score"] > 0.5
+    assert len(record["artifacts"]["tuned_models"]) == 2
+    assert all(os.path.isdir(p) for p in [record["artifacts"]["model"], *record["artifacts"]["tuned_models"]])
+    stored = spark.read.parquet(f"{record['run_dir'].removeprefix('file:')}/tuned_models/tuning_class_weights")
+    assert stored.count() == 8
+    logged = {r["name"]: r["value"] for r in spark.read.parquet(str(tmp_path / "params")).collect()}
+    assert logged["n_iter"] == "2" and logged["model_name"] == "decision_tree"
+
+
+def test_boosting_stops_early_and_knows_every_class(spark):
+    draw = random.Random(2)
+    rows = []
+    for i in range(300):
+        label = float(i % 3) if draw.random() < 0.7 else float(draw.randrange(3))
+        rows.append((label, 1.0, Vectors.dense([float(i % 3) + draw.random() / 2, draw.random(), draw.random()])))
+    table = spark.createDataFrame(rows, ["label", "weight", "features"])
+    model = models.with_weights(models.make_model("hist_gradient_boosting", maxIter=40), "weight").fit(table)
+    assert len(model.models) == 3 and all(m.getNumTrees < 40 for m in model.models)
+    assert model.transform(table).filter("label <> prediction").count() < 100
+
+
+def test_flight_ids_follow_the_order_of_the_records(spark):
+    names = [n for n in schemas.RAW_LEG_TYPES]
+    days = ["2024-01-02", "2024-01-01", "2024-01-01", None]
+    raw = spark.createDataFrame([(d, 900 + i, "X") for i, d in enumerate(days)], "FlightDate string, CRSDepTime bigint, Reporting_Airline string")
+    raw = raw.select("*", *[F.lit(None).cast(schemas.RAW_LEG_TYPES[n]).alias(n) for n in names if n not in raw.columns])
+    found = {r["CRSDepTime"]: r["FlightID"] for r in clean.add_flight_id(raw.repartition(3)).collect()}
+    assert found == {903: 0, 901: 1, 902: 2, 900: 3}
