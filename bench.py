@@ -24,7 +24,7 @@ HEADLINE = [
     "holiday_nearest", "weather_join", "null_profile", "numeric_profile", "describe", "corr_matrix",
     "duplicate_counts", "hist50", "density_points", "chrono_split", "stratified_split", "minmax_scale",
     "one_hot", "headline_metrics", "roc_auc_ovr", "degree", "components", "clustering_coeff",
-    "weekly_edges", "daily_counts",
+    "weekly_edges", "daily_counts", "feature_table", "raw_to_features", "pagerank_fixed", "core_number", "knn_vote", "bayes",
 ]
 
 
