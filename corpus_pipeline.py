@@ -12,6 +12,7 @@ from legwork.llm import decontaminate, mixing, quality, sharding, simhash
 from legwork.session import apply_defaults, cut_to_table
 
 SHARDS = 40
+SIMILARITY = 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.one_per_group(docs)
+    """One document of each group of near duplicates: five-word shingles, 0.8 alike or more."""
+    return simhash.one_per_group(docs, width=5, similarity=SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

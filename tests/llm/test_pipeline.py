@@ -6,7 +6,7 @@ from collections import Counter
 import corpus_pipeline
 from cases import prose, table
 from test_rows import measure
-from test_texts import brute_hits, classes, own_print
+from test_texts import alike_groups, brute_hits
 
 from legwork.llm import quality
 from legwork.llm.queries import QUERIES, SQL
@@ -23,6 +23,8 @@ def corpus():
     data += [(300, "too short", "en", "s0", 1), (301, None, "en", None, None), (302, "# " * 60, "en", "s0", 1)]
     data += [(303, prose(rng, 9) + " " + "again and again it says the same thing " * 30, "en", "s0", 1)]
     data += [(0, base[0], "en", "s0", len(base[0]))]  # a repeated row
+    data += [(400 + i, f"{base[10 + i]} {fresh(6)}", "en", "s1", 1) for i in range(8)]  # near copies, 0.93 alike
+    data += [(450 + i, f"{base[30 + i]} {fresh(60)}", "en", "s1", 1) for i in range(4)]  # 0.56 alike
     return data, items
 
 
@@ -50,12 +52,14 @@ def test_stages_like_brute_force(spark, tmp_path):
     assert {300, 301, 302, 303}.isdisjoint(r[0] for r in kept) and len(kept) == len(data) - 4
 
     two = stages["near_dedup"](spark, one, sf)
-    group = classes({own_print(r[1]) for r in kept}, 4)
+    group = alike_groups({r[1] for r in kept}, 5, 0.8)
     best = {}
     for doc, text, *_ in kept:
-        g = group[own_print(text)]
+        g = group[text]
         best[g] = min(best.get(g, (doc, text)), (doc, text))
     assert rows(two) == Counter(best.values())
+    ids = {doc for doc, _ in best.values()}
+    assert not any(400 <= d < 450 for d in ids) and {450, 451, 452, 453} <= ids
 
     three = stages["decontamination"](spark, two, sf)
     clean = {h[0] for h in brute_hits(list(best.values()), items) if not h[2]}

@@ -232,6 +232,56 @@ def test_links_keep_components(spark, longest):
     assert parent == want
 
 
+def shingles(text, width):
+    w = words(lower(text or ""))
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))}
+
+
+def alike_groups(texts: set, width: int, least: float) -> dict:
+    """Each text's group: chains of texts whose shingle sets are alike (Jaccard)."""
+    root = {t: t for t in texts}
+
+    def top(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    sets = {t: shingles(t, width) for t in texts}
+    for a, b in combinations(sorted(texts), 2):
+        both = len(sets[a] & sets[b])
+        if both >= least * (len(sets[a]) + len(sets[b]) - both):
+            root[max(top(a), top(b))] = min(top(a), top(b))
+    return {t: top(t) for t in texts}
+
+
+@pytest.mark.parametrize("longest", [1 << 14, 8])
+def test_similar_texts_like_brute_force(spark, longest, monkeypatch):
+    rng = random.Random(3)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = {None, "", " \t", "one", "One", "two words", "a b c d e", "A b C d e"}
+    for size, copies in ((100, 40), (300, 6), (60, 3), (9000, 3)):
+        base = fresh(size)
+        texts.add(" ".join(base))
+        for _ in range(copies):  # at least 0.88 alike, and chains of them
+            near = list(base)
+            near[rng.randrange(size)] = "other"
+            texts.add(" ".join(near))
+        texts.add(" ".join(base + fresh(size)))  # half alike
+    step = fresh(400)
+    for _ in range(12):  # each 0.9 alike to the one before
+        step = step[20:] + fresh(20)
+        texts.add(" ".join(step))
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(sorted(texts, key=repr))]
+    monkeypatch.setattr(simhash.sketch_links, "__defaults__", (longest,))
+    out = simhash.near_duplicates(table(spark, data, clashes=True), width=5, similarity=0.8)
+    group = alike_groups({t or "" for t in texts}, 5, 0.8)
+    group = {t: group[t] if words(t) else "" for t in texts}
+    least = {}
+    for doc, text, *_ in data:
+        least[group[text]] = min(doc, least.get(group[text], doc))
+    assert collected(out, "doc_id", "component_id") == sorted(((d, least[group[t]]) for d, t, *_ in data), key=repr)
+
+
 def held_out():
     return F.coalesce(F.col("doc_id") % 3 == 0, F.lit(False))
 
