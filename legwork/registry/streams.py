@@ -29,5 +29,5 @@ def stream_hourly_state(spark, d):
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS num_messages FROM events GROUP BY 1""")
 def stream_daily_counts(spark, d):
     log = _events(spark, d).select(F.col("ts").cast("timestamp").alias("ts"))
-    found = jobs.run_complete(jobs.daily_counts(log), "daily_counts")
+    found = jobs.run_update(jobs.daily_counts(log), "daily_counts", "day")
     return found.select(day_text("day").alias("day"), "num_messages")

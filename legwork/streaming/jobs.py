@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from legwork.session import scratch_path
+from legwork.sources.tables import path_exists
 
 
 def read_stream(spark: SparkSession, folder: str, file_name: str, like: DataFrame) -> DataFrame:
@@ -43,15 +45,23 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_complete(stream: DataFrame, name: str) -> DataFrame:
-    """Runs over all available input; every batch replaces the stored result."""
+def run_update(stream: DataFrame, name: str, key: str) -> DataFrame:
+    """Runs over all available input; a batch stores the keys it changed, the latest batch counts.
+
+    State older than the watermark is dropped. A batch that is run again replaces its own files.
+    """
     spark = stream.sparkSession
     path = scratch_path(spark, name)
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = stream.writeStream.outputMode("complete").foreachBatch(store)
+    writer = stream.writeStream.outputMode("update").foreachBatch(store)
     writer = writer.option("checkpointLocation", f"{path}-checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    if not path_exists(spark, path):  # nothing has arrived
+        return spark.createDataFrame([], stream.schema)
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    found = spark.read.schema(schema).parquet(path)
+    rest = [c for c in stream.columns if c != key]
+    return found.groupBy(key).agg(*[F.max_by(c, "batch").alias(c) for c in rest])
