@@ -14,10 +14,12 @@ pieces of the bytes not yet fixed, which bounds them (for k = 4: 16 free bits).
 
 Texts whose shingle sets are 0.8 alike differ in about ten bits, past any number that eight
 bytes can guarantee a match for. Asked for a ``similarity``, the operator therefore also keeps
-a sketch per text: ``SKETCH`` positional bytes, each of the smallest shingle under one order, so
-that the share of equal bytes estimates the similarity of the sets. The index, the tally and the
-search of a list are the same; a list longer than ``SKETCH_LIST`` is cut into blocks, and every
-pair of blocks is searched.
+a sketch per distinct shingle set: ``SKETCH`` positional bytes, each of the smallest shingle
+under one order, so that the share of equal bytes estimates the similarity. The index, the
+tally and the search of a list are the same; a list longer than ``SKETCH_LIST`` is cut into
+blocks, and every pair of blocks is searched. Sketches and fingerprints only propose: the sets
+that their links bring together are compared shingle by shingle, and a link counts if their
+Jaccard similarity reaches what was asked for.
 """
 
 from __future__ import annotations
@@ -50,11 +52,15 @@ SHORT = 12
 BIT_CHUNK = 1 << 16
 #: Positional bytes of a sketch; at 0.8 their estimate has a standard error of 0.025.
 SKETCH = 256
-#: Lists that a sketch is in, and bytes that such a list fixes: texts 0.8 alike share one of
-#: them in 99.8 of 100 cases, texts 0.9 alike in all but one of a hundred thousand.
-SKETCH_LISTS, SKETCH_KEY = 12, 4
+#: Lists that a sketch is in, and bytes that such a list fixes: texts 0.8 alike share none of
+#: them in one of 20 million cases.
+SKETCH_LISTS, SKETCH_KEY = 32, 4
+#: Standard errors that the tally of a pair may stay below its similarity and still be compared.
+ERRORS = 5
 #: Longest list of sketches that one task searches at once.
 SKETCH_LIST = 1 << 14
+#: Bytes of shingle sets in a block; one task compares the sets of two blocks.
+SET_BLOCK = 1 << 24
 #: Shingles sketched at a time.
 SKETCH_CHUNK = 512
 #: Odd factors, one per position, that put the shingles in as many orders.
@@ -99,17 +105,25 @@ def sketch(hashes: np.ndarray) -> bytes:
     return ((least * SPREAD) >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
+def set_key(shingles: np.ndarray) -> int:
+    """Hash of a sorted set of shingles, as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), HASH_SEED)).astype(np.int64))
+
+
 def fingerprint_batches(width: int, sketched: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sketches = [], []
+            prints, sets, sketches = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 hashes = shingle_hashes(text or "", width)
                 prints.append(fingerprint(hashes))
                 if sketched:
+                    hashes = np.unique(hashes)
+                    sets.append(set_key(hashes))
                     sketches.append(sketch(hashes))
             made = {"fingerprint": pa.array(prints, pa.int64())}
             if sketched:
+                made["set_id"] = pa.array(sets, pa.int64())
                 made["sketch"] = pa.array(sketches, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *made.values()], names=[*batch.schema.names[:-1], *made]
@@ -118,6 +132,19 @@ def fingerprint_batches(width: int, sketched: bool = False):
     return run
 
 
+def set_batches(width: int):
+    """Rows (component, set_id, text) to the sorted shingle sets, eight bytes a shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(text or "", width)).tobytes() for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(sets, pa.binary())], names=["component", "set_id", "shingles"]
+            )
+
+    return run
+
+
 def masks_of(free: list[int], width: int, least: int) -> list[int]:
     """Bit masks of all choices of ``least`` pieces of ``width`` bits out of the pieces ``free``."""
     piece = (1 << width) - 1
@@ -272,76 +299,169 @@ def fingerprint_links(prints: DataFrame, bits: int = 4, longest: int = LIST_MAX)
     return links.distinct()
 
 
-def sketch_list_links(least: int):
-    """Rows (c, k, pair, fp, sketch), sorted by the first three, to links (a, b) within each list."""
+def group_links(keys: list[str], id_col: str, value_col: str, search: Callable):
+    """Rows sorted by ``keys`` to links (a, b) within each group that has the same keys.
 
-    def alike(many: np.ndarray, one: np.ndarray) -> np.ndarray:
-        return (many == one).sum(axis=1) >= least
+    ``search`` takes the values of a group and gives the links as indices.
+    """
 
-    def links(fp: np.ndarray, rows: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pd.DataFrame:
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for s, e in zip(starts, stops, strict=True):
-            a, b = reach(np.frombuffer(b"".join(rows[s:e]), np.uint8).reshape(-1, SKETCH), alike)
-            left.append(fp[s + a]), right.append(fp[s + b])
-        a, b = np.concatenate(left), np.concatenate(right)
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        ids = group[id_col].to_numpy()
+        a, b = search(group[value_col].to_numpy())
+        a, b = ids[a], ids[b]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b].drop_duplicates()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # rows of the list that is still open
+        held: list[pd.DataFrame] = []  # rows of the group that is still open
         for frame in frames:
             if not len(frame):
                 continue
-            if held is not None:
-                frame = pd.concat([held, frame], ignore_index=True)
-            keys = frame[["c", "k", "pair"]].to_numpy()
-            starts = np.r_[0, 1 + np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1))]
-            held = frame.iloc[starts[-1] :]
-            starts, stops = starts[:-1], starts[1:]
-            long = stops - starts > 1
-            yield links(frame["fp"].to_numpy(), frame["sketch"].to_numpy(), starts[long], stops[long])
-        if held is not None and len(held) > 1:
-            yield links(held["fp"].to_numpy(), held["sketch"].to_numpy(), np.array([0]), np.array([len(held)]))
+            at = frame[keys].to_numpy()
+            starts = np.r_[0, 1 + np.flatnonzero((at[1:] != at[:-1]).any(axis=1)), len(frame)]
+            if held and (held[0][keys].to_numpy()[0] != at[0]).any():
+                yield links(pd.concat(held, ignore_index=True))
+                held = []
+            found = []
+            for s, e in zip(starts[:-1], starts[1:], strict=True):
+                if e == len(frame):
+                    held.append(frame.iloc[s:e])
+                elif held:
+                    found.append(links(pd.concat([*held, frame.iloc[s:e]], ignore_index=True)))
+                    held = []
+                elif e - s > 1:
+                    found.append(links(frame.iloc[s:e]))
+            if found:
+                yield pd.concat(found)
+        if held:
+            yield links(pd.concat(held, ignore_index=True))
 
     return run
 
 
+def sketches_alike(least: int):
+    """Links that connect all sketches of a group with ``least`` equal bytes."""
+
+    def alike(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+        return (many == one).sum(axis=1) >= least
+
+    def search(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return reach(np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH), alike)
+
+    return search
+
+
+def sets_alike(similarity: float):
+    """Links that connect all shingle sets of a group with that Jaccard similarity, each compared exactly."""
+
+    def search(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(x) // 8 for x in sets])
+        distinct, flat = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+        flat = flat.astype(np.int32)
+        stops = np.cumsum(sizes)
+        starts = stops - sizes
+        here = np.zeros(len(distinct), bool)
+
+        def alike(many: np.ndarray, one: int) -> np.ndarray:
+            small, large = np.minimum(sizes[many], sizes[one]), np.maximum(sizes[many], sizes[one])
+            hit = (small > 0) & (small >= similarity * large)  # the most that the sizes allow
+            if hit.any():
+                those = many[hit]
+                here[flat[starts[one] : stops[one]]] = True
+                both = np.array([np.count_nonzero(here[flat[starts[i] : stops[i]]]) for i in those])
+                here[flat[starts[one] : stops[one]]] = False
+                hit[hit] = both >= similarity * (sizes[those] + sizes[one] - both)
+            return hit
+
+        return reach(np.arange(len(sets)), alike)
+
+    return search
+
+
+def in_blocks(rows: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """``rows`` once for every pair of blocks (``pair``) that their block is in, dealt and sorted."""
+    block = F.pmod(F.xxhash64(id_col), F.col("blocks"))
+    pairs = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+        lambda other: F.least(block, other) * F.col("blocks") + F.greatest(block, other),
+    )
+    kept = [c for c in rows.columns if c != "blocks"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*kept, F.explode(pairs).alias("pair")).repartition(parts, *keys, "pair")
+    return dealt.sortWithinPartitions(*keys, "pair")
+
+
+def least_tally(similarity: float) -> int:
+    """Equal bytes of a sketch, ``ERRORS`` standard errors below what the similarity lets expect."""
+    equal = similarity + (1 - similarity) / 256
+    return max(0, math.floor(SKETCH * equal - ERRORS * math.sqrt(SKETCH * equal * (1 - equal))))
+
+
 def sketch_links(entries: DataFrame, similarity: float, longest: int = SKETCH_LIST) -> DataFrame:
-    """Links (a < b) between the fingerprints of distinct (fp, sketch) that connect all texts
-    found ``similarity`` alike in a list that they share."""
-    least = math.ceil(SKETCH * (similarity + (1 - similarity) / 256))
-    keys = [F.substring("sketch", 1 + SKETCH_KEY * c, SKETCH_KEY) for c in range(SKETCH_LISTS)]
-    keys = F.array(*[F.conv(F.hex(k), 16, 10).cast("long") for k in keys])
-    sizes = entries.select(F.posexplode(keys).alias("c", "k")).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    overlong = cut_to_table(
-        sizes.filter(F.col("n") > longest).withColumn("blocks", F.ceil(2 * F.col("n") / longest).cast("long")), "overlong"
+    """Links (a < b) between the ids of distinct (set_id, sketch) that connect all sets that share
+    a list and whose tally leaves room for the similarity."""
+    keys = [F.xxhash64(F.lit(c), F.substring("sketch", 1 + SKETCH_KEY * c, SKETCH_KEY)) for c in range(SKETCH_LISTS)]
+    narrow = entries.select("set_id", F.explode(F.array(*keys)).alias("k"))
+    sizes = narrow.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    blocks = F.when(F.col("n") > longest, F.ceil(2 * F.col("n") / longest)).otherwise(1).cast("long")
+    shared = cut_to_table(sizes.select("k", blocks.alias("blocks")), "shared_lists")
+    # Only sketches that share a list at all are carried to their lists.
+    in_lists = narrow.join(sized_broadcast(shared, shared.count(), 32), "k")
+    in_lists = in_lists.groupBy("set_id").agg(F.collect_list(F.struct("k", "blocks")).alias("lists"))
+    listed = entries.join(in_lists, "set_id").select("set_id", "sketch", F.inline("lists"))
+    run = group_links(["k", "pair"], "set_id", "sketch", sketches_alike(least_tally(similarity)))
+    return in_blocks(listed, ["k"], "set_id").mapInPandas(run, "a long, b long").distinct()
+
+
+def candidate_links(prints: DataFrame, entries: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """Links (a < b) between shingle sets that are near by fingerprint or by sketch."""
+    pairs = cut_to_table(prints.select(F.col("fingerprint").alias("fp"), "set_id").distinct(), "print_sets")
+    heads = cut_to_table(pairs.groupBy("fp").agg(F.min("set_id").alias("head")), "print_heads")
+    equal = pairs.join(heads, "fp").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
+    near = fingerprint_links(heads, bits)
+    near = near.join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b")
+    near = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    links = near.union(equal).filter("a < b").union(sketch_links(entries, similarity))
+    return cut_to_table(links.distinct(), "candidates")
+
+
+def verified_links(docs: DataFrame, entries: DataFrame, links: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links (a < b) that connect all shingle sets of that similarity which ``links`` bring together.
+
+    ``docs`` has doc_id, text_mark and text, ``entries`` the (doc_id, text_mark) of one row per
+    set. All pairs of a component of ``links`` count as proposed; components of more than
+    ``SET_BLOCK`` bytes are cut into blocks, and every pair of blocks is searched.
+    """
+    ids = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    of_set = components(links, ids).select(F.col("id").alias("set_id"), "component")
+    proposed = cut_to_table(
+        entries.join(of_set, "set_id").select("component", "set_id", F.col("least.*")).toDF("component", "set_id", "_id", "_mark"),
+        "proposed",
     )
-    listed = entries.select(F.posexplode(keys).alias("c", "k"), "fp", "sketch")
-    long_lists = overlong.count()
-    if long_lists:
-        listed = listed.join(sized_broadcast(overlong.drop("n"), long_lists, 32), ["c", "k"], "left")
-        block = F.pmod(F.xxhash64("sketch", "fp"), F.col("blocks"))
-        pairs = F.transform(
-            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-            lambda other: F.least(block, other) * F.col("blocks") + F.greatest(block, other),
-        )
-        listed = listed.select("c", "k", F.explode(F.coalesce(pairs, F.array(F.lit(0).cast("long")))).alias("pair"), "fp", "sketch")
-    else:
-        listed = listed.select("c", "k", F.lit(0).cast("long").alias("pair"), "fp", "sketch")
-    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = listed.repartition(parts, "c", "k", "pair").sortWithinPartitions("c", "k", "pair")
-    return dealt.mapInPandas(sketch_list_links(least), "a long, b long").distinct()
+    both = same([F.col("doc_id"), F.col("text_mark")], [F.col("_id"), F.col("_mark")])
+    texts = docs.join(sized_broadcast(proposed, proposed.count(), 64), both).select("component", "set_id", "text")
+    sets = texts.mapInArrow(set_batches(width), "component long, set_id long, shingles binary")
+    sets = cut_to_table(sets.distinct(), "shingle_sets")
+    bytes_of = sets.groupBy("component").agg(F.sum(F.octet_length("shingles").cast("long")).alias("n"))
+    blocks = bytes_of.select("component", F.greatest(F.lit(1), F.ceil(F.col("n") / SET_BLOCK)).cast("long").alias("blocks"))
+    run = group_links(["component", "pair"], "set_id", "shingles", sets_alike(similarity))
+    dealt = in_blocks(sets.join(blocks, "component"), ["component"], "set_id")
+    return cut_to_table(dealt.mapInPandas(run, "a long, b long").distinct(), "verified")
 
 
 def fingerprinted(
     docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text", sketched: bool = False
 ) -> DataFrame:
-    """doc_id, text_mark (hash of the text), fingerprint (signed long) and, if asked, sketch of every row."""
-    rows = docs.select(
+    """doc_id, text_mark (hash of the text), fingerprint (signed long) and, if asked, set_id (hash
+    of the shingle set) and sketch of every row."""
+    columns = "doc_id long, text_mark long, fingerprint long" + (", set_id long, sketch binary" if sketched else "")
+    return text_rows(docs, id_col, text_col).mapInArrow(fingerprint_batches(width, sketched), columns)
+
+
+def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("text_mark"),
         F.col(text_col).alias("text"),
     )
-    columns = "doc_id long, text_mark long, fingerprint long" + (", sketch binary" if sketched else "")
-    return rows.mapInArrow(fingerprint_batches(width, sketched), columns)
 
 
 def near_duplicates(
@@ -356,26 +476,34 @@ def near_duplicates(
 
     Shingles are ``width`` words joined by a space, A-Z lower-cased, repeats included; fewer
     words are one shingle, and a text without words (null, empty) has fingerprint zero, which
-    links like any other. With a ``similarity``, texts are linked too if the sketches of their
-    shingle sets agree in that share (texts without words agree wholly). component_id is the smallest doc_id that a chain of links reaches.
+    links like any other. With a ``similarity``, fingerprints and sketches propose links, and
+    those count whose sets of shingles have at least that Jaccard similarity (texts without
+    words are alike, and like no other). component_id is the smallest doc_id that a chain of links reaches.
     Rows without an id take part, but no component is named after them unless it has no
-    other row (then it is null). component_print is the component's smallest fingerprint. Ids
-    are integers; repeated rows give repeated results; other columns are not read; an empty
+    other row (then it is null). component_print is the component's smallest fingerprint, or
+    with a ``similarity`` the smallest hash of its shingle sets. Ids are integers; repeated rows give repeated results; other columns are not read; an empty
     table gives an empty one.
     """
     prints = cut_to_table(fingerprinted(docs, width, id_col, text_col, similarity is not None), "fingerprints")
-    distinct = cut_to_table(
-        prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "distinct_prints"
-    )
-    links = fingerprint_links(distinct, bits)
-    if similarity is not None:
-        entries = cut_to_table(prints.select(F.col("fingerprint").alias("fp"), "sketch").distinct(), "sketches")
-        links = cut_to_table(links.union(sketch_links(entries, similarity)).distinct(), "all_links")
-    labels = components(links, distinct.select(F.col("fp").alias("id"))).select(F.col("id").alias("fp"), "component")
-    named = distinct.join(labels, "fp")
+    if similarity is None:
+        prints = prints.withColumn("key", F.col("fingerprint"))
+        distinct = cut_to_table(prints.groupBy("key").agg(F.min("doc_id").alias("least")), "distinct_prints")
+        links = fingerprint_links(distinct.withColumnRenamed("key", "fp"), bits)
+    else:
+        prints = prints.withColumn("key", F.col("set_id"))
+        one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_mark")).alias("one")
+        entries = prints.groupBy("set_id", "sketch").agg(one)
+        entries = cut_to_table(
+            entries.select("set_id", "sketch", F.struct("one.doc_id", "one.text_mark").alias("least")), "sketches"
+        )
+        distinct = entries.select(F.col("set_id").alias("key"), F.col("least.doc_id").alias("least"))
+        proposed = candidate_links(prints, entries.select("set_id", "sketch"), bits, similarity)
+        links = verified_links(text_rows(docs, id_col, text_col), entries, proposed, width, similarity)
+    labels = components(links, distinct.select(F.col("key").alias("id"))).select(F.col("id").alias("key"), "component")
+    named = distinct.join(labels, "key")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = cut_to_table(named.join(smallest, "component").select("fp", "component_id", "component"), "print_components")
-    return prints.join(of_print, F.col("fingerprint") == F.col("fp")).select(
+    of_key = cut_to_table(named.join(smallest, "component").select("key", "component_id", "component"), "print_components")
+    return prints.join(of_key, "key").select(
         "doc_id", "text_mark", "fingerprint", "component_id", F.col("component").alias("component_print")
     )
 

@@ -282,6 +282,37 @@ def test_similar_texts_like_brute_force(spark, longest, monkeypatch):
     assert collected(out, "doc_id", "component_id") == sorted(((d, least[group[t]]) for d, t, *_ in data), key=repr)
 
 
+def test_links_near_the_limit_are_verified(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = set()
+    for _ in range(60):  # pairs from 0.75 to 0.85 alike, a fresh tail of each length
+        base = fresh(404)
+        cut = rng.randrange(33, 58)
+        texts |= {" ".join(base), " ".join(base[:-cut] + fresh(cut))}
+    frame = fresh(300)
+    for _ in range(60):  # one family, mutually about 0.75 alike
+        texts.add(" ".join(frame + fresh(50)))
+    texts |= {"x y " * 30 + "z", "x y " * 31 + "z", " ".join(["q"] * 9), " ".join(["q"] * 12)}
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(sorted(texts))]
+    out = simhash.near_duplicates(table(spark, data), width=5, similarity=0.8)
+    group = alike_groups(texts, 5, 0.8)
+    least = {}
+    for doc, text, *_ in data:
+        least[group[text]] = min(doc, least.get(group[text], doc))
+    assert 0 < len(texts) - len(set(group.values())) < 62
+    assert collected(out, "doc_id", "component_id") == sorted(((d, least[group[t]]) for d, t, *_ in data), key=repr)
+
+
+def test_set_blocks_lose_no_link(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+    texts = [" ".join(base[:i] + [f"v{i}"] + base[i + 1 :]) for i in range(0, 200, 5)]
+    monkeypatch.setattr(simhash, "SET_BLOCK", 4096)
+    out = simhash.near_duplicates(table(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]), width=5, similarity=0.8)
+    assert {r["component_id"] for r in out.collect()} == {0}
+
+
 def held_out():
     return F.coalesce(F.col("doc_id") % 3 == 0, F.lit(False))
 
