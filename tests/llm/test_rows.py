@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pytest
 from cases import CLASHES, DOCS, collected, lower, rows, table, words
+from pyspark.sql import functions as F
 
-from legwork.llm import line_dedup, mixing, quality, sharding
+from legwork.llm import line_dedup, mixing, quality, queries, sharding
 
 OWN = [f.name for f in DOCS.fields]
 
@@ -38,6 +40,19 @@ def test_shards_of_an_empty_table_and_clashing_names(spark):
     assert dict(out.dtypes)["slot"] == "bigint"
 
 
+def test_shard_query_moves_whole_documents(spark, tmp_path, monkeypatch):
+    table(spark, rows()).write.parquet(str(tmp_path / "documents.parquet"))
+    deal = sharding.shard_rows
+
+    def damaged(df, *args, **named):
+        assert df.columns == OWN
+        return deal(df, *args, **named).withColumn("text", F.lit("lost"))
+
+    monkeypatch.setattr(sharding, "shard_rows", damaged)
+    out = queries.op1_shards(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows()) and {(r["size"], r["text_crc32"]) for r in out} == {(20, zlib.crc32(b"lost"))}
+
+
 def test_shard_of_a_row_is_uniform(spark):
     hits = np.zeros((4, 5))
     for seed in range(30):
