@@ -13,6 +13,7 @@ from legwork.llm import (
     line_dedup,
     lm_score,
     mixing,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -127,6 +128,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_starts(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -144,7 +149,7 @@ QUERIES = {
     run.__name__: prepared(run)
     for run in (
         op1_shards, op2_line_dedup, op3_url_filter, op4_chat_tree, op5_simhash, op6_lm_score, op7_quality,
-        op8_decontaminate, op9_mix, op10_token_counts, pipeline,
+        op8_decontaminate, op9_mix, op10_token_counts, op11_prefix_trie, pipeline,
     )
 }
 
@@ -263,4 +268,34 @@ copied AS (
   SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM mixed)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies
 FROM copied""",
+    "op11_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+    || length(coalesce(text, '')) AS key FROM conversations WHERE conv_id IS NOT NULL),
+said AS (SELECT conv_id, list(key ORDER BY turn NULLS FIRST, key) AS ks FROM turns GROUP BY conv_id),
+-- CRC-32 of the decimal id, bit by bit
+marked AS (
+  SELECT *, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))
+  ), 4294967295) % 6 AS h FROM said),
+rebuilt AS (
+  SELECT m.conv_id, list_concat(coalesce(d.ks[1:m.h], []), m.ks[m.h + 1:]) AS ks
+  FROM marked m LEFT JOIN said d ON d.conv_id = m.conv_id - m.conv_id % 100),
+steps AS (SELECT conv_id, ks, unnest(range(0, len(ks) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT ks[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ks) = depth), '')) AS ends_sha256
+  FROM steps GROUP BY 1, 2),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * CAST(substr(path[depth], 33) AS BIGINT) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN kids k USING (path)),
+under AS (
+  SELECT path[1:up] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM own) GROUP BY 1)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, u.n_leaves,
+  CAST(u.saved_tokens AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN under u USING (path) LEFT JOIN nodes p ON o.depth > 0 AND p.path = o.path[1:o.depth - 1]""",
 }
