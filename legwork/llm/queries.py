@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legwork.llm import (
+    align,
     chat_tree,
     decontaminate,
     line_dedup,
     lm_score,
     mixing,
+    pii,
     prefix_trie,
     quality,
     sharding,
@@ -132,6 +134,22 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_starts(table(spark, sf_dir, "conversations"))
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(table(spark, sf_dir, "documents"))[0]
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data; the counts and the digest are those of the base kinds."""
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), name="found")
+    base = pii.of_kinds("found", pii.BASE_KINDS)
+    return found.select(
+        "doc_id",
+        *[F.size(pii.of_kinds("found", (kind,))).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(pii.written(base).cast("binary"), 256).alias("base_sha256"),
+        pii.written("found").alias("spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -149,7 +167,8 @@ QUERIES = {
     run.__name__: prepared(run)
     for run in (
         op1_shards, op2_line_dedup, op3_url_filter, op4_chat_tree, op5_simhash, op6_lm_score, op7_quality,
-        op8_decontaminate, op9_mix, op10_token_counts, op11_prefix_trie, pipeline,
+        op8_decontaminate, op9_mix, op10_token_counts, op11_prefix_trie, op12_align, op13_pii,
+        pipeline,
     )
 }
 
