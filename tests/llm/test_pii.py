@@ -60,7 +60,7 @@ def test_known_cases():
     automaton = pii.make_automaton()
     for text in (
         "a@b.c@d.e x@@y.z a@b@c.de", "1.2.3.4.5.6.7.8 1.2.3 256.1.1.1 0001.0.0.255", "+1 (743) 555-3824 +1555 +1--2 ++12345678",
-        "4111 1111 1111 1111 4111-1111-1111-1111 4111  1111 1111 1111", "a" * 200_000 + "@b.cd", "1" * 100_000 + ".2.3.4",
+        "4111 1111 1111 1111 4111-1111-1111-1111 4111  1111 1111 1111", "a" * 20_000 + "@b.cd", "1" * 4_000 + ".2.3.4",
         "1 " * 50_000, "@" * 1000, "+1" + " " * 100_000 + "2", "1." * 50_000, "é😀 x@y.zz 漢",
     ):
         assert base_of(text, automaton) == brute(text)
