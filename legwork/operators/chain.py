@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from legwork.functions.scalars import flag, same
 from legwork.functions.times import minutes_between
-from legwork.operators.ranking import positions, previous_row
+from legwork.operators.ranking import LAST_HOUR, positions, previous_row
 
 PREVIOUS_FIELDS = [
     "FlightID", "Dest", "Origin", "FlightDate", "Reporting_Airline", "Cancelled", "Diverted",
@@ -25,14 +25,16 @@ def _hour() -> Column:
 def add_legs_per_day(legs: DataFrame) -> DataFrame:
     """How many legs the aircraft flew before this one on the day, and its total.
 
-    Legs without a tail number get neither.
+    Legs without a tail number or a day get neither; a leg without a planned time counts as the
+    last of its day.
     """
-    known = legs.filter(F.col("Tail_Number").isNotNull())
+    has_both = F.col("Tail_Number").isNotNull() & F.col("FlightDate").isNotNull()
+    order = [F.asc_nulls_last("CRSDepDateTime_UTC"), "FlightID"]
     counted = positions(
-        known, ["Tail_Number", "FlightDate"], [_hour()], ["CRSDepDateTime_UTC", "FlightID"],
+        legs.filter(has_both), ["Tail_Number", "FlightDate"], [F.coalesce(_hour(), F.lit(LAST_HOUR))], order,
         "Flights_before_today", totals=True,
     ).withColumnRenamed("Flights_before_today_total", "total_Flights_scheduled_today")
-    unknown = legs.filter(F.col("Tail_Number").isNull())
+    unknown = legs.filter(~has_both)
     return counted.unionByName(unknown, allowMissingColumns=True)
 
 

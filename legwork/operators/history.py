@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from legwork.operators.ranking import positions
+from legwork.operators.ranking import LAST_HOUR, positions
 from legwork.schemas import DELAY_COLUMN
 
 
@@ -91,12 +91,15 @@ def add_flight_history(legs: DataFrame, value: str = DELAY_COLUMN, run_legs: int
 
     Every flight number is cut into runs of ``run_legs`` legs (30 at least), so no task holds
     a whole large key. A run starts with a summary of everything earlier, as values with
-    counts, and the 30 legs before it. A leg without a flight number has no history.
+    counts, and the 30 legs before it. A leg without a flight number has no history. Legs
+    without a day come after all others, and those without a planned time last in their day.
     """
     keyed = legs.withColumn("_flg", flight_number())
-    hour = F.date_trunc("HOUR", "CRSDepDateTime_UTC")
+    # "~" stands behind every date, which begins with a digit
+    day = F.coalesce(F.col("FlightDate").cast("string"), F.lit("~"))
+    hour = F.coalesce(F.date_trunc("HOUR", "CRSDepDateTime_UTC"), F.lit(LAST_HOUR))
     known = keyed.filter(F.col("_flg").isNotNull())
-    placed = positions(known, ["_flg"], [F.col("FlightDate"), hour], FLIGHT_ORDER, "_pos")
+    placed = positions(known, ["_flg"], [day, hour], [F.asc_nulls_last(c) for c in FLIGHT_ORDER], "_pos")
     placed = placed.withColumns({"_run": F.floor(F.col("_pos") / run_legs), "_v": F.col(value).cast("double")})
 
     # kinds in their order within a run: 0 summary, 1 leg of the run before, 2 leg of the run

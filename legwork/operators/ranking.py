@@ -9,12 +9,16 @@ The number of cells is bounded by the calendar or by the value range, not by the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwork.session import cut_lineage
 
+#: Cell of rows without a time where they come after all others.
+LAST_HOUR = datetime(9999, 12, 31, 23)
+
 
 def _before(keys: Sequence[str], order: list) -> "Window":
     return (
@@ -24,18 +28,28 @@ def _before(keys: Sequence[str], order: list) -> "Window":
     )
 
 
+def _join_same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Joins on ``names``, nulls equal to each other, and keeps the columns of ``left`` once."""
+    if not names:
+        return left.join(right, how=how)
+    other = right.withColumnsRenamed({n: f"_r_{n}" for n in names})
+    terms = [left[n].eqNullSafe(other[f"_r_{n}"]) for n in names]
+    return left.join(other, terms, how).drop(*[f"_r_{n}" for n in names])
+
+
 def prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
     levels: Sequence[Column],
-    order: Sequence[str],
+    order: Sequence[str | Column],
     weights: dict[str, Column],
     totals: bool = False,
 ) -> DataFrame:
     """Exclusive running sums of ``weights`` in ``order`` within ``keys``.
 
-    ``levels`` are coarse-to-fine cells that never decrease along ``order``. With
-    ``totals`` the sum over the key is added as ``<name>_total``.
+    ``levels`` are coarse-to-fine cells that never decrease along ``order``; a null cell or key
+    is a cell or key of its own, before all others. With ``totals`` the sum over the key is
+    added as ``<name>_total``.
     """
     keys = list(keys)
     names = [f"_cell{i}" for i in range(len(levels))]
@@ -62,12 +76,12 @@ def prefix_sums(
         if offsets is None:
             offsets = level.withColumnsRenamed({f"_p_{n}": f"_off_{n}" for n in weights})
         else:
-            offsets = level.join(offsets, outer).withColumns(
+            offsets = _join_same(level, offsets, outer).withColumns(
                 {f"_off_{n}": F.col(f"_off_{n}") + F.col(f"_p_{n}") for n in weights}
             ).drop(*[f"_p_{n}" for n in weights])
     inside = _before(keys + names, list(order))
     return (
-        tagged.join(offsets, keys + names)
+        _join_same(tagged, offsets, keys + names)
         .withColumns(
             {
                 n: F.col(f"_off_{n}") + F.coalesce(F.sum(w).over(inside), F.lit(0))
@@ -82,7 +96,7 @@ def positions(
     df: DataFrame,
     keys: Sequence[str],
     levels: Sequence[Column],
-    order: Sequence[str],
+    order: Sequence[str | Column],
     name: str = "position",
     totals: bool = False,
 ) -> DataFrame:
@@ -203,18 +217,19 @@ def previous_row(
     """Adds ``name``: a struct of ``fields`` taken from the previous row of the key.
 
     Rows are ordered inside (key, cell) only, and the last row of each cell is carried to
-    the next one over a table with one row per cell, so that no task holds a whole key.
+    the next one over a table with one row per cell, so that no task holds a whole key. Rows
+    with a null cell or order value come last.
     Rows with a null key have no previous row and take no part in the shuffles.
     """
     held = F.struct(*fields)
     group = [key, "_cell"]
     known = df.filter(F.col(key).isNotNull()).withColumn("_cell", cell)
-    last = known.groupBy(*group).agg(F.max_by(held, F.struct(*order)).alias("_last"))
-    carried = last.select(
-        *group, F.lag("_last").over(Window.partitionBy(key).orderBy("_cell")).alias("_carried")
-    )
-    inside = Window.partitionBy(*group).orderBy(*order)
-    linked = known.join(carried, group, "left").withColumn(
+    ranks = [x for c in order for x in (F.col(c).isNull(), F.col(c))]
+    last = known.groupBy(*group).agg(F.max_by(held, F.struct(*ranks)).alias("_last"))
+    by_cell = Window.partitionBy(key).orderBy(F.asc_nulls_last("_cell"))
+    carried = last.select(*group, F.lag("_last").over(by_cell).alias("_carried"))
+    inside = Window.partitionBy(*group).orderBy(*[F.asc_nulls_last(c) for c in order])
+    linked = _join_same(known, carried, group, "left").withColumn(
         name, F.coalesce(F.lag(held).over(inside), F.col("_carried"))
     )
     linked = linked.drop("_cell", "_carried")

@@ -296,3 +296,29 @@ def test_ids_are_spread(spark):
 def test_penalty_follows_the_weighted_rows(spark):
     rows = spark.range(50).select(F.lit(2.0).alias("weight"))
     assert tuning.penalty(0.5, rows) == pytest.approx(1 / (0.5 * 100))
+
+
+def test_no_leg_is_lost_without_day_or_time(spark):
+    at = datetime(2024, 5, 1, 9)
+    kind = ("FlightID bigint, Tail_Number string, Reporting_Airline string, Flight_Number_Reporting_Airline bigint, FlightDate string, "
+            "CRSDepDateTime_UTC timestamp, ArrDelayMinutes double, Origin string, Dest string, Cancelled double, Diverted double, "
+            "ArrDateTime_UTC timestamp, CRSArrDateTime_UTC timestamp, DepDateTime_UTC timestamp, DepDelayMinutes double, "
+            "LateAircraftDelay double, WeatherDelay double, NASDelay double, CarrierDelay double")
+    legs = [(1, "N", at), (2, "N", None), (3, None, at), (4, "N", at + timedelta(hours=3)), (5, None, None), (6, "N", at + timedelta(days=40)), (7, "N", None)]
+    rows = [(i, tail, "AA", 5, None if i in (5, 6) else "2024-05-01", when, float(i), "A", "A", 0.0, 0.0, *[None] * 8) for i, tail, when in legs]
+    df = spark.createDataFrame(rows, kind).repartition(3)
+    per_day = {r["FlightID"]: (r["Flights_before_today"], r["total_Flights_scheduled_today"]) for r in chain.add_legs_per_day(df).collect()}
+    assert per_day == {1: (0, 4), 4: (1, 4), 2: (2, 4), 7: (3, 4), 3: (None, None), 5: (None, None), 6: (None, None)}
+    linked = {r["FlightID"]: r["prev"] and r["prev"]["FlightID"] for r in chain.add_previous_leg(df).collect()}
+    assert linked == {1: None, 4: 1, 6: 4, 2: 6, 7: 2, 3: None, 5: None}
+    # one flight number; days in order, legs without a time last in the day, legs without a day last of all
+    order, seen = [1, 3, 4, 2, 7, 6, 5], {}
+    for n, i in enumerate(order):
+        earlier = [float(x) for x in order[:n]]
+        seen[i] = (len(earlier), round(sum(earlier) / len(earlier), 6) if earlier else 0.0, float(np.median(earlier)) if earlier else 0.0)
+    names = ["hist_flg_count_delay", "hist_flg_delay", "hist_flg_median_delay"]
+    got = {r["FlightID"]: (r[names[0]], round(r[names[1]], 6), r[names[2]]) for r in history.add_flight_history(df).collect()}
+    assert got == seen
+    keyed = spark.createDataFrame([(None, 1), ("a", 2), (None, 3)], "k string, v int")
+    placed = ranking.positions(keyed, ["k"], [F.lit(None).cast("int"), F.col("v")], ["v"], "p", totals=True).collect()
+    assert sorted((r["v"], r["p"], r["p_total"]) for r in placed) == [(1, 0, 2), (2, 0, 1), (3, 1, 2)]
