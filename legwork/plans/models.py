@@ -3,26 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
     OneVsRest,
-    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from legwork.plans.boosting import HistogramBoosting
 
 SEED = 42
 FEATURES, LABEL = "features", "label"
@@ -50,74 +46,16 @@ def random_forest(**params) -> Estimator:
     return RandomForestClassifier(**_columns(), **{**defaults, **params})
 
 
-#: Rounds without a lower error after which boosting stops, and the fall that counts as lower.
-PATIENCE, FALL = 15, 1e-7
-
-
-def rounds_kept(errors: list[float], patience: int = PATIENCE, fall: float = FALL) -> int:
-    """Rounds until none of the last ``patience`` has a lower error than the round before them."""
-    for n in range(patience + 1, len(errors) + 1):
-        if min(errors[n - patience : n]) >= errors[n - patience - 1] - fall:
-            return n
-    return len(errors)
-
-
-def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
-    """The ensemble after its first ``n`` rounds."""
-    gateway, whole = SparkContext._active_spark_context._gateway, model._java_obj
-    trees, weights = whole.trees(), whole.treeWeights()
-    some_trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    some_weights = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        some_trees[i], some_weights[i] = trees[i], weights[i]
-    make = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel
-    cut = make(whole.uid(), some_trees, some_weights, whole.numFeatures(), whole.numClasses())
-    return model._copyValues(GBTClassificationModel(cut))
-
-
-class EarlyStoppedBoosting(OneVsRest):
-    """Boosted trees, one class against the rest, each stopped early.
-
-    A tenth of the rows (by a hash of the features) measures the error after every round. All
-    rounds are fitted, and a class keeps those up to the first ``PATIENCE`` in a row that bring
-    no lower error; MLlib itself would stop at the first one.
-    """
-
-    def _fit(self, dataset: DataFrame) -> OneVsRestModel:
-        features, label = self.getFeaturesCol(), self.getLabelCol()
-        marked = dataset.withColumn("_held", F.pmod(F.xxhash64(features), F.lit(10)) == 0).persist()
-        seen = marked.agg(F.max(label).alias("top"), F.count_if(F.col("_held")).alias("held")).first()
-        booster = self.getClassifier()
-        extra = {booster.labelCol: "_one", booster.featuresCol: features}
-        if self.isSet(self.weightCol):
-            extra[booster.weightCol] = self.getWeightCol()
-
-        def against_rest(wanted: int):
-            rows = marked.withColumn("_one", (F.col(label) == wanted).cast("double"))
-            model = booster.fit(rows.filter("NOT _held"), extra)
-            if not seen["held"]:
-                return model
-            return first_trees(model, rounds_kept(model.evaluateEachIteration(rows.filter("_held"))))
-
-        with ThreadPoolExecutor(max(1, self.getParallelism())) as pool:
-            models = list(pool.map(against_rest, range(int(seen["top"]) + 1)))
-        marked.unpersist()
-        return self._copyValues(OneVsRestModel(models=models))
-
-
-def _boosted(kind: type[OneVsRest], defaults: dict, params: dict) -> Estimator:
-    settings = {"seed": SEED, **defaults, **params}
-    return kind(classifier=GBTClassifier(**_columns(), **settings), parallelism=4, **_columns())
-
-
 def hist_gradient_boosting(**params) -> Estimator:
-    """Boosted trees, one against the rest; MLlib's booster is binary."""
-    return _boosted(EarlyStoppedBoosting, {"stepSize": 0.08, "maxIter": 300, "maxDepth": 5}, params)
+    """Boosted trees that stop when the loss on a tenth of the rows stalls."""
+    defaults = {"stepSize": 0.08, "maxIter": 300, "maxDepth": 5, "minInstancesPerNode": 20, "priors": True, "heldOut": True}
+    return HistogramBoosting(**_columns(), **{"seed": SEED, "minHessian": 1e-3, **defaults, **params})
 
 
 def xgboost(**params) -> Estimator:
-    """Boosted trees, one against the rest: all rounds on all rows."""
-    return _boosted(OneVsRest, {"stepSize": 0.06, "maxIter": 400, "maxDepth": 7, "subsamplingRate": 1.0}, params)
+    """Boosted trees with an L2 weight: all rounds on all rows."""
+    defaults = {"stepSize": 0.06, "maxIter": 400, "maxDepth": 7, "l2": 10.0, "minHessian": 1.0, "hessianFactor": 2.0}
+    return HistogramBoosting(**_columns(), **{"seed": SEED, "subsamplingRate": 1.0, "columnRate": 1.0, **defaults, **params})
 
 
 def naive_bayes(**params) -> Estimator:

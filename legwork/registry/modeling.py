@@ -9,8 +9,15 @@ from legwork.registry.feature_rows import feature_rows
 from legwork.schemas import DELAY_CLASSES
 
 
+#: Prepared rows per application and input; they stand in the shared folder.
+_PREPARED: dict[tuple[str, str], training.Prepared] = {}
+
+
 def _prepared(spark, d):
-    return training.prepare(feature_rows(spark, d), training.TrainingConfig())
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _PREPARED:
+        _PREPARED[key] = training.prepare(feature_rows(spark, d), training.TrainingConfig())
+    return _PREPARED[key]
 
 
 def _scores(spark, d, name, **params):

@@ -7,7 +7,6 @@ import zipfile
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from legwork import schemas
@@ -90,32 +89,6 @@ def test_tuned_run_is_recorded(spark, tmp_path):
     assert logged["n_iter"] == "2" and logged["model_name"] == "decision_tree"
 
 
-def test_boosting_stops_early_and_knows_every_class(spark):
-    draw = random.Random(2)
-    rows = []
-    for i in range(300):
-        label = float(i % 3) if draw.random() < 0.7 else float(draw.randrange(3))
-        rows.append((label, 1.0, Vectors.dense([float(i % 3) + draw.random() / 2, draw.random(), draw.random()])))
-    table = spark.createDataFrame(rows, ["label", "weight", "features"])
-    model = models.with_weights(models.make_model("hist_gradient_boosting", maxIter=40), "weight").fit(table)
-    assert len(model.models) == 3 and all(m.getNumTrees < 40 for m in model.models)
-    assert model.transform(table).filter("label <> prediction").count() < 100
-
-
-def test_boosting_waits_and_xgboost_never_stops(spark):
-    assert models.rounds_kept([3, 4, 2, 2.5, 2.2, 1, 1, 1, 1], patience=3) == 9
-    assert models.rounds_kept([3, 2, 2.5, 2.2, 2.1, 1], patience=3) == 5
-    assert models.rounds_kept([1.0] * 40) == 16 and models.rounds_kept([1.0, 2.0]) == 2
-    draw = random.Random(4)
-    rows = [(float(draw.randrange(2)), 1.0, Vectors.dense([draw.random(), draw.random()])) for _ in range(120)]
-    table = spark.createDataFrame(rows, ["label", "weight", "features"])
-    fit = lambda name: models.with_weights(models.make_model(name, maxIter=25, maxDepth=3), "weight").fit(table)
-    assert [m.getNumTrees for m in fit("xgboost").models] == [25, 25]
-    waited = fit("hist_gradient_boosting").models
-    assert all(16 <= m.getNumTrees <= 25 and m.numFeatures == 2 for m in waited)
-    assert all(len(m.featureImportances) == 2 for m in waited)
-
-
 def test_flight_ids_follow_the_order_of_the_records(spark):
     names = [n for n in schemas.RAW_LEG_TYPES]
     days = ["2024-01-02", "2024-01-01", "2024-01-01", None]
