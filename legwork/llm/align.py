@@ -262,7 +262,7 @@ def encoded_runs(sides, a_bits: int, b_bits: int, id_type: pa.DataType):
         return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sides.value)
+        encoder = Encoder(Sides(*sides.value))
         chunk = TaskContext.get().partitionId() << 32
         docs, records, links = 0, [], 0
 
@@ -436,7 +436,7 @@ def align_tokens(
     a_bits, b_bits = files.widths()
     if PART_BITS + a_bits + b_bits + DOC_BITS > 63:
         raise ValueError("The ids of these vocabularies do not fit into a record")
-    sides = spark.sparkContext.broadcast(files)
+    sides = spark.sparkContext.broadcast(tuple(files))  # executors need no copy of the class
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     id_type = spark.createDataFrame([], f"x {kind}").toArrow().schema.field(0).type
