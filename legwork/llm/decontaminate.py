@@ -77,7 +77,7 @@ def judged(
     item_text_col: str = "text",
 ) -> tuple[DataFrame, str]:
     """``docs`` with a struct of n_words, n_hit and items, and its name; see ``hits``."""
-    hit = free(docs, "hit")
+    hit, hit_doc, hit_mark, hit_cands = (free(docs, name) for name in ("hit", "hit_doc", "hit_mark", "hit_cands"))
     windows = cut_to_table(item_windows(items, width, item_id_col, item_text_col), "windows")
     vocabulary = windows.select(F.explode(F.transform("window", join_form)).alias("word")).distinct()
     vocabulary = cut_to_table(vocabulary, "vocabulary")
@@ -96,17 +96,17 @@ def judged(
     room = (F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.size("window") <= F.col("n_words"))
     found = words.join(rare, "word").filter(room)
     candidate = F.struct((F.col("pos") - F.col("at")).alias("start"), F.col("window"), F.col("items"))
-    per_doc = found.groupBy(F.col("doc").alias("_hit_doc"), F.col("mark").alias("_hit_mark")).agg(
-        F.collect_set(candidate).alias("_hit_cands")
+    per_doc = found.groupBy(F.col("doc").alias(hit_doc), F.col("mark").alias(hit_mark)).agg(
+        F.collect_set(candidate).alias(hit_cands)
     )
 
     joined = docs.join(
-        per_doc, same([F.col(id_col), text_key(F.col(text_col))], [F.col("_hit_doc"), F.col("_hit_mark")]), "left"
+        per_doc, same([F.col(id_col), text_key(F.col(text_col))], [F.col(hit_doc), F.col(hit_mark)]), "left"
     )
     none = F.array().cast("array<struct<start:int,window:array<string>,items:array<string>>>")
-    verdict = bound(raw_words(text_col), lambda w: verified(w, F.coalesce("_hit_cands", none)))
+    verdict = bound(raw_words(text_col), lambda w: verified(w, F.coalesce(hit_cands, none)))
     out = joined.select("*", F.inline_outer(F.array(F.struct(verdict.alias(hit)))))
-    return out.drop("_hit_doc", "_hit_mark", "_hit_cands"), hit
+    return out.drop(hit_doc, hit_mark, hit_cands), hit
 
 
 def hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

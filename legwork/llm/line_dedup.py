@@ -23,7 +23,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from legwork.llm.text import filled, plus, same, sized_broadcast, text_key
+from legwork.llm.text import filled, free, plus, same, sized_broadcast, text_key
 from legwork.session import cut_to_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -231,18 +231,19 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
     Only texts that lose lines pass through Python. Input columns of the new names give way.
     """
+    keep_id, keep_mark, keep_dropped, keep_bits = (free(docs, f"keep_{n}") for n in ("id", "mark", "dropped", "bits"))
     keeps = bitmaps.select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_mark").alias("_keep_mark"),
-        F.col("n_dropped").alias("_keep_dropped"), F.col("keep").alias("_keep_bits"),
+        F.col("doc_id").alias(keep_id), F.col("text_mark").alias(keep_mark),
+        F.col("n_dropped").alias(keep_dropped), F.col("keep").alias(keep_bits),
     )
-    both = same([F.col(id_col).cast("long"), text_key(F.col(text_col))], [F.col("_keep_id"), F.col("_keep_mark")])
+    both = same([F.col(id_col).cast("long"), text_key(F.col(text_col))], [F.col(keep_id), F.col(keep_mark)])
     joined = docs.join(keeps, both, "left")
     text = filled(text_col)
-    cut = F.pandas_udf(kept_text, "string")(F.when(F.col("_keep_bits").isNotNull(), text), F.col("_keep_bits"))
+    cut = F.pandas_udf(kept_text, "string")(F.when(F.col(keep_bits).isNotNull(), text), F.col(keep_bits))
     out = plus(
         joined,
         n_lines=(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long"),
-        n_dropped=F.coalesce("_keep_dropped", F.lit(0)).cast("long"),
+        n_dropped=F.coalesce(keep_dropped, F.lit(0)).cast("long"),
         kept_text=F.coalesce(cut, text),
     )
-    return out.drop("_keep_id", "_keep_mark", "_keep_dropped", "_keep_bits")
+    return out.drop(keep_id, keep_mark, keep_dropped, keep_bits)

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legwork.llm.text import filled, plus, words
+from legwork.llm.text import filled, free, plus, shielded, unshielded, words
 
 WINDOW = 8
 
@@ -116,17 +116,18 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", ""))
     # A generator keeps what is read several times later from being computed several times.
-    row = F.struct(word_counts.alias("_m_words"), line_counts.alias("_m_lines"), symbols.alias("_m_symbols"))
+    m_words, m_lines, m_symbols = (free(docs, name) for name in ("m_words", "m_lines", "m_symbols"))
+    row = F.struct(word_counts.alias(m_words), line_counts.alias(m_lines), symbols.alias(m_symbols))
     wide = plus(
         docs.select("*", F.inline_outer(F.array(row))),
-        n_words=F.col("_m_words.n").cast("long"),
-        word_chars=F.col("_m_words.chars").cast("long"),
-        n_symbols=F.col("_m_symbols").cast("long"),
-        n_text_lines=F.col("_m_lines.all").cast("long"),
-        n_dup_lines=F.col("_m_lines.dup").cast("long"),
-        n_repeat_words=F.col("_m_words.repeat").cast("long"),
+        n_words=F.col(f"{m_words}.n").cast("long"),
+        word_chars=F.col(f"{m_words}.chars").cast("long"),
+        n_symbols=F.col(m_symbols).cast("long"),
+        n_text_lines=F.col(f"{m_lines}.all").cast("long"),
+        n_dup_lines=F.col(f"{m_lines}.dup").cast("long"),
+        n_repeat_words=F.col(f"{m_words}.repeat").cast("long"),
     )
-    return wide.drop("_m_words", "_m_lines", "_m_symbols")
+    return wide.drop(m_words, m_lines, m_symbols)
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -149,6 +150,16 @@ def fails(policy: Policy, bits: Column | str = "failure_bits") -> Column:
     return column.bitwiseAND(F.lit(policy.mask()).cast("long")) != 0
 
 
+def passing(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that fail no rule of the policy, with their own columns whatever their names.
+
+    Null and empty texts fail for their few words, repeated rows pass or fail alike, a very long
+    text is measured whole in its row, and an empty table gives an empty one.
+    """
+    inside, names = shielded(docs)
+    return unshielded(ledger(inside, names[text_col]).filter(~fails(policy)), names)
+
+
 def ablations(ledgered: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
     """Per policy and rule: documents that fail it, fail only it, and the policy's rejects without it.
 

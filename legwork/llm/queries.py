@@ -277,12 +277,13 @@ filled AS (
     (SELECT arg_min(level, place) FROM levels WHERE cap > weight * level) AS common FROM levels),
 rates AS (
   SELECT source, source_size, CASE WHEN is_full THEN cap ELSE weight * common END AS target FROM filled),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1 AS again FROM d),
 mixed AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-    CAST(('0x' || substr(md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 13))
-      AS BIGINT) / 4503599627370496.0::DOUBLE AS chance
-  FROM d JOIN rates ON d.source IS NOT DISTINCT FROM rates.source),
+    CAST(('0x' || substr(md5('0|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))
+      || CASE WHEN again > 0 THEN '|' || again ELSE '' END), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE AS chance
+  FROM numbered d JOIN rates ON d.source IS NOT DISTINCT FROM rates.source),
 copied AS (
   SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM mixed)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies

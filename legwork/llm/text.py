@@ -55,6 +55,19 @@ def free(df: DataFrame, stem: str) -> str:
     return name
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns under names that no operator uses, and these names by their own."""
+    inner = {name: f"_own_{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*[f"_own_{i}" for i in range(len(df.columns))]), inner
+
+
+def unshielded(df: DataFrame, inner: dict[str, str], **new: Column) -> DataFrame:
+    """The columns of before under their own names, then the new ones; old ones of a new name give way."""
+    taken = {name.lower() for name in new}
+    kept = [F.col(held).alias(name) for name, held in inner.items() if name.lower() not in taken]
+    return df.select(*kept, *[value.alias(name) for name, value in new.items()])
+
+
 def sized_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Marks ``df`` for broadcast when its counted size is small, else leaves the join to Spark."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -12,11 +12,11 @@ from typing import NamedTuple
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legwork.llm.quality import bound
-from legwork.llm.text import ascii_lower, filled, plus, sized_broadcast
+from legwork.llm.text import ascii_lower, filled, shielded, sized_broadcast, unshielded
 from legwork.session import cut_to_table
 
 
@@ -40,6 +40,8 @@ RULES = (
 FIT_ROWS = 20_000
 #: Weight of the overall block rate in a suffix's rate.
 PRIOR_ROWS = 20.0
+#: Parts of the labelled rows whose rates leave themselves out.
+FOLDS = 5
 FEATURES = (
     "url_length", "host_length", "path_length", "query_length", "depth", "host_labels", "digit_ratio",
     "host_digits", "entropy", "parameters", "hyphens", "longest_part", "has_fragment", "last_part_dots",
@@ -116,19 +118,32 @@ def lexical(pages: DataFrame, url_col: str, rules: Sequence[SiteRule]) -> DataFr
     )
 
 
-def block_rates(labelled: DataFrame, key: str, mean: float) -> DataFrame:
-    """Smoothed share of blocked rows per ``key``, from counts."""
-    counts = labelled.groupBy(key).agg(F.sum("label").alias("b"), F.count(F.lit(1)).alias("n"))
-    return counts.select(key, ((F.col("b") + mean * PRIOR_ROWS) / (F.col("n") + PRIOR_ROWS)).alias(f"{key}_rate"))
+def block_counts(labelled: DataFrame, key: str, folds: bool) -> DataFrame:
+    """Labelled rows and blocked ones per ``key``; with ``folds`` per fold those outside of it."""
+    blocked, rows = F.sum("label").alias("_u_blocked"), F.count(F.lit(1)).alias("_u_rows")
+    if not folds:
+        return labelled.groupBy(key).agg(blocked, rows)
+    inside = labelled.groupBy(key, "_u_fold").agg(blocked, rows)
+    whole = Window.partitionBy(key)  # FOLDS rows at most
+    return inside.select(
+        key, "_u_fold", *[(F.sum(c).over(whole) - F.col(c)).alias(c) for c in ("_u_blocked", "_u_rows")]
+    )
+
 
+def with_rates(frame: DataFrame, labelled: DataFrame, mean: float, folds: bool = False) -> DataFrame:
+    """Adds ``_u_suffix_rate`` and ``_u_site_rate``, the smoothed shares of blocked rows.
 
-def with_rates(frame: DataFrame, labelled: DataFrame, mean: float) -> DataFrame:
-    """Adds ``_u_suffix_rate`` and ``_u_site_rate``; names without labels get the overall rate."""
+    Names without labels get the overall rate. With ``folds`` the frame's rows are labelled ones,
+    and a row's rates count the other folds only, so that no tree is fitted on a rate that knows
+    the row's label.
+    """
     for key in ("_u_suffix", "_u_site"):
-        rates = cut_to_table(block_rates(labelled, key, mean), "block_rates")
+        rates = cut_to_table(block_counts(labelled, key, folds), "block_rates")
         size = rates.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length(key)).alias("b")).first()
-        frame = frame.join(sized_broadcast(rates, size["n"], 32 + (size["b"] or 0)), key, "left")
-        frame = frame.withColumn(f"{key}_rate", F.coalesce(f"{key}_rate", F.lit(mean)))
+        on = [key, "_u_fold"] if folds else [key]
+        frame = frame.join(sized_broadcast(rates, size["n"], 48 + (size["b"] or 0)), on, "left")
+        rate = (F.col("_u_blocked") + mean * PRIOR_ROWS) / (F.col("_u_rows") + PRIOR_ROWS)
+        frame = frame.withColumn(f"{key}_rate", F.coalesce(rate, F.lit(mean))).drop("_u_blocked", "_u_rows")
     return frame
 
 
@@ -146,13 +161,16 @@ def fit(frame: DataFrame, fit_rows: int = FIT_ROWS, rounds: int = 20, depth: int
     label = (F.col("_u_match.verdict") == "block").cast("double").alias("label")
     own = [f"_u_{f}" for f in FEATURES if not f.endswith("_rate")]
     labelled = cut_to_table(
-        frame.filter(F.col("_u_match").isNotNull()).select(label, "_u_suffix", "_u_site", *own), "labelled_urls"
+        frame.filter(F.col("_u_match").isNotNull()).select(
+            label, "_u_suffix", "_u_site", *own, F.pmod(F.xxhash64(F.lit("fold"), "_u_site", *own), F.lit(FOLDS)).alias("_u_fold")
+        ),
+        "labelled_urls",
     )
     mean = labelled.agg(F.avg("label")).first()[0]
     if mean is None or mean in (0.0, 1.0):
         return None, (lambda x: x), "block" if mean else "allow"
     sample = labelled.orderBy(F.xxhash64("_u_site", *own)).limit(fit_rows)
-    ready = cut_to_table(assembled(with_rates(sample, labelled, mean)).select("label", "_u_features"), "url_features")
+    ready = cut_to_table(assembled(with_rates(sample, labelled, mean, folds=True)).select("label", "_u_features"), "url_features")
     trees = GBTClassifier(
         featuresCol="_u_features", labelCol="label", maxIter=rounds, maxDepth=depth, seed=seed, subsamplingRate=1.0
     )
@@ -169,7 +187,8 @@ def judge_urls(
     has an empty host and path, fits no rule and is left to the trees. Repeated URLs are judged
     alike. Input columns of the new names give way. An empty table gives an empty one.
     """
-    frame = lexical(pages, url_col, rules)
+    inside, names = shielded(pages)
+    frame = lexical(inside, names[url_col], rules)
     model, rated, constant = fit(frame, fit_rows)
     if model is None:
         scored = frame.withColumns({"_u_score": F.lit(None).cast("double"), "_u_verdict": F.lit(constant)})
@@ -180,12 +199,12 @@ def judge_urls(
         scored = model.transform(assembled(rated(frame)))
         scored = scored.withColumn("_u_score", vector_to_array("_u_probability")[1])
         scored = scored.withColumn("_u_verdict", F.when(F.col("_u_score") > 0.5, "block").otherwise("allow"))
-    out = plus(
+    return unshielded(
         scored,
+        names,
         host=F.col("_u_host"),
         path=F.col("_u_path"),
         rule=F.col("_u_match.rule"),
         verdict=F.coalesce("_u_match.verdict", "_u_verdict"),
         block_score=F.col("_u_score"),
     )
-    return out.select(*[c for c in out.columns if not c.startswith("_u_")])

@@ -4,7 +4,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from cases import prose, table
+from cases import CLASHES, DOCS, prose, table
+from pyspark.sql import functions as F
 from test_rows import measure
 from test_texts import alike_groups, brute_hits
 
@@ -77,6 +78,31 @@ def test_stages_like_brute_force(spark, tmp_path):
     assert max(sizes.values()) - min(sizes.values() if len(sizes) == corpus_pipeline.SHARDS else [0]) <= 1
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Internal and result names as columns of the documents, and a very long text."""
+    data, items = corpus()
+    data.append((500, " ".join(f"{i:05d}w" for i in range(60_000)), "en", "s1", 1))
+    names = set(CLASHES) | {
+        "n_words", "copies", "size", "rate", "target", "source_size", "failure_bits", "_copy", "_m_words", "_m_lines",
+        "_m_symbols", "_mix_source", "_mix_size", "_mix_target", "_mix_rate", "_mix_number", "_hit_doc", "_hit_mark",
+        "_hit_cands", "_own_0", "_own_1", "_keep_id", "n_symbols", "word_chars", "mark", "doc", "id", "again",
+    }
+    names -= {"shard", "slot"}
+    sf = str(tmp_path)
+    own = {n: F.concat(F.lit(f"own {n} "), F.col("doc_id").cast("string")) for n in sorted(names)}
+    df = spark.createDataFrame(data, DOCS).withColumns(own).repartition(5)
+    df.write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        wrong = F.lit(False)
+        for n in names:
+            wrong = wrong | ~F.col(f"`{n}`").eqNullSafe(F.concat(F.lit(f"own {n} "), F.col("doc_id").cast("string")))
+        assert out.filter(wrong).count() == 0 and out.filter("doc_id = 500").count() >= 1, name
+
+
 def test_empty_documents(spark, tmp_path):
     sf = str(tmp_path)
     table(spark, []).write.parquet(f"{sf}/documents.parquet")
@@ -85,5 +111,5 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert set(SQL) <= set(QUERIES)

@@ -129,6 +129,24 @@ def test_mix_comes_near_its_targets(spark):
     assert emitted.count() == out.groupBy().sum("copies").first()[0]
 
 
+def test_mix_of_repeated_rows_comes_near_its_target(spark):
+    """Equal rows draw each for itself: the target of their source is met within 2 %."""
+    data = [(7, "a b c", None, "same", None)] * 6000 + [(i, "a b c d e", None, "other", None) for i in range(100, 1900)]
+    df = table(spark, data)
+    first = mixing.mix(df).groupBy("source", "doc_id", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("t")).collect()
+    again = mixing.mix(df).groupBy("source", "doc_id", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("t")).collect()
+    assert sorted(first) == sorted(again)
+    (target, taken), = [(r["target"], r["t"]) for r in first if r["source"] == "same"]
+    assert 18000 < target < 36000 and abs(taken / target - 1) < 0.02
+    assert mixing.mixed_documents(df).count() * 3 > target
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    df = table(spark, rows()).withColumns({n: F.lit("own") for n in ("_keep_id", "_keep_mark", "_keep_bits", "_u_x")})
+    out = line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df))
+    assert out.filter("_keep_id = 'own' AND _keep_bits = 'own' AND _u_x = 'own'").count() == len(rows())
+
+
 def test_mix_of_awkward_tables(spark):
     assert mixing.mix(table(spark, [])).count() == 0
     only_empty = mixing.mix(table(spark, [(1, None, None, "a", None), (2, "", None, None, None)])).collect()

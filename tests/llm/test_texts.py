@@ -52,6 +52,8 @@ def test_url_rules_like_brute_force(spark):
         assert (r["host"], r["path"]) == (host, path)
         assert r["rule"] == (rule.host + rule.path if rule else None)
         assert r["verdict"] == rule.verdict if rule else r["verdict"] in ("allow", "block")
+    more = df.withColumns({"_u_host": F.lit("own"), "_u_score": F.lit("own")})
+    assert url_filter.judge_urls(more).filter("_u_host = 'own' AND _u_score = 'own' AND host <> 'own'").count() == len(URLS)
     empty = url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string"))
     assert empty.count() == 0
     lone = url_filter.judge_urls(spark.createDataFrame([(1, "http://x.net/")], "page_id long, url string")).first()
