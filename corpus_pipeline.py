@@ -17,8 +17,7 @@ SIMILARITY = 0.8
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule of the strict policy."""
-    judged = quality.ledger(docs.select(*docs.columns))
-    return judged.filter(~quality.fails(quality.STRICT)).select(*docs.columns)
+    return quality.passing(docs, quality.STRICT)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for."""
-    return mixing.emit_copies(mixing.mix(docs), docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
