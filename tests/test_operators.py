@@ -227,6 +227,7 @@ def test_pagerank_by_matrix(small_graph):
 
 def test_nearest_by_brute_force(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 10)
     rng = np.random.default_rng(1)
     vectors = np.concatenate([rng.normal(c, 0.3, (60, 4)) for c in (0, 3, 9)])
     rows = [(i, v.tolist(), i % 3) for i, v in enumerate(vectors)]
@@ -244,6 +245,34 @@ def test_nearest_by_brute_force(spark, monkeypatch):
             assert {i for _, i in found[q]} == set(best.tolist())
 
 
+def test_neighbour_search_prunes_clustered_rows(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 64)
+    rng = np.random.default_rng(2)
+    vectors = np.concatenate([rng.normal(rng.normal(0, 8, 6), 0.5, (200, 6)) for _ in range(20)])
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(vectors)], "id bigint, v array<double>, y int")
+    train, asked = df.filter("id % 10 <> 0"), df.filter("id % 10 = 0")
+    share = neighbors.visited_share(train, asked, "id", "v", "y", k=15)
+    assert 0 < share < 0.3
+    found = defaultdict(set)
+    for r in neighbors.nearest(train, asked, "id", "v", "y", k=15).collect():
+        found[r["query_id"]].add(r["train_id"])
+    ids = np.array([i for i in range(len(vectors)) if i % 10])
+    for q in range(0, len(vectors), 10):
+        dist = np.sqrt(((vectors[ids] - vectors[q]) ** 2).sum(axis=1))
+        assert found[q] == set(ids[np.argsort(dist, kind="stable")[:15]].tolist())
+
+
+def test_neighbours_of_few_or_equal_rows(spark):
+    kind = "id bigint, v array<double>, y int"
+    few = spark.createDataFrame([(1, [0.0], 0), (2, [5.0], 1)], kind)
+    asked = spark.createDataFrame([(9, [1.0], 0)], kind)
+    assert sorted(r["train_id"] for r in neighbors.nearest(few, asked, "id", "v", "y", k=5).collect()) == [1, 2]
+    equal = spark.createDataFrame([(i, [1.0, 1.0], i % 2) for i in range(600)], kind)
+    same = spark.createDataFrame([(9, [1.0, 1.0], 0)], kind)
+    assert sorted(r["train_id"] for r in neighbors.nearest(equal, same, "id", "v", "y", k=3).collect()) == [0, 1, 2]
+    assert neighbors.nearest(few.filter("false"), asked, "id", "v", "y").count() == 0
+
+
 def test_series_fills_empty_days(spark):
     log = spark.createDataFrame([(1, 2, "2024-01-01 10:00:00"), (1, 3, "2024-01-04 09:00:00"), (2, 1, "2024-01-07 23:00:00")], "src int, dst int, t string")
     log = log.withColumn("datetime", F.col("t").cast("timestamp_ntz"))
