@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from legwork import schemas
+from legwork.operators.ranking import positions
 
 
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
@@ -34,6 +36,47 @@ def one_hot(df: DataFrame, categories: dict[str, list[str]], null_column: bool =
     return df.select(*kept, *[x.alias(n) for n, x in added.items()])
 
 
+def fit_dictionary(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, index): the distinct values of every column, numbered from 0 in their order.
+
+    The values stay in Spark: they are counted by their first characters and numbered inside
+    these cells, so neither the driver nor one task holds those of a column.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    found = train.select(F.inline(pairs)).filter("value IS NOT NULL").distinct()
+    cells = [F.substring("value", 1, 1), F.substring("value", 1, 3)]
+    placed = positions(found, ["column"], cells, ["value"], "index")
+    return placed.select("column", "value", F.col("index").cast("int").alias("index"))
+
+
+def add_indices(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds ``<column>_index``, null for a null and for a value that the dictionary lacks."""
+    for c in columns:
+        own = dictionary.filter(F.col("column") == c).select(F.col("value").alias(c), F.col("index").alias(f"{c}_index"))
+        df = df.withColumn(c, F.col(c).cast("string")).join(own, c, "left")
+    return df
+
+
+def one_hot_vectors(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Adds a sparse indicator vector per column and returns the names of these vectors.
+
+    An unseen or missing value gives an empty vector. Only the number of values of a column
+    reaches the driver, and no column is made per value.
+    """
+    counted = dictionary.groupBy("column").agg((F.max("index") + 1).alias("n")).collect()  # one row per column
+    sizes = {r["column"]: r["n"] for r in counted}
+    known = [c for c in columns if c in sizes]
+    coded = add_indices(df, dictionary, known).withColumns(
+        {f"{c}_index": F.coalesce(f"{c}_index", F.lit(sizes[c])).cast("double") for c in known}
+    )
+    if not known:
+        return coded, []
+    vectors = [f"{c}_vector" for c in known]
+    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in known], outputCols=vectors, handleInvalid="keep", dropLast=True)
+    widest = df.sparkSession.createDataFrame([tuple(float(sizes[c] - 1) for c in known)], [f"{c}_index" for c in known])
+    return encoder.fit(widest).transform(coded).drop(*[f"{c}_index" for c in known]), vectors
+
+
 def drop_leakage(df: DataFrame, target: str, time_column: str, extra: Sequence[str] = ()) -> DataFrame:
     """Removes outcome columns, target, times and dates; absent names are ignored."""
     kept = df.drop(*schemas.LEAKAGE_COLUMNS, target, time_column, "FlightDate", *extra)

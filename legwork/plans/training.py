@@ -17,7 +17,7 @@ from legwork.functions.times import minute_of_day
 from legwork.operators import encode, evaluate, scale, split, target
 from legwork.plans import tuning
 from legwork.plans.models import FEATURES, LABEL, RULES, feature_importances, make_model, with_weights
-from legwork.session import cut_lineage
+from legwork.session import cut_lineage, cut_to_table
 from legwork.sources import sinks
 
 
@@ -48,7 +48,6 @@ class Prepared:
     rows: DataFrame
     names: list[str]
     scaler: DataFrame
-    categories: dict[str, list[str]]
     weights: DataFrame
 
 
@@ -65,8 +64,12 @@ def label_and_split(features: DataFrame, config: TrainingConfig) -> DataFrame:
     )
 
 
-def encode_rows(rows: DataFrame, config: TrainingConfig) -> tuple[DataFrame, list[str], DataFrame, dict]:
-    """Fits categories and scaler on the train split and applies them to every row."""
+def encode_rows(rows: DataFrame, config: TrainingConfig) -> tuple[DataFrame, list[str], DataFrame, list[str]]:
+    """Fits category dictionary and scaler on the train split and applies them to every row.
+
+    Categories become sparse vectors. Returns the rows with their numbers and vectors, the
+    names of the elements in order, the scaler, and the columns to assemble.
+    """
     present = set(rows.columns)
     scaled = [c for c in schemas.SCALED_COLUMNS if c in present]
     plain = [c for c in schemas.UNSCALED_NUMERIC + schemas.FLAG_COLUMNS + schemas.THREE_VALUED_COLUMNS if c in present]
@@ -79,12 +82,15 @@ def encode_rows(rows: DataFrame, config: TrainingConfig) -> tuple[DataFrame, lis
         *([F.col(schemas.RULE_FEATURE).alias("_rule")] if schemas.RULE_FEATURE in present else []),
     )
     train = kept.filter("split = 'train'")
-    categories = encode.fit_categories(train, hot)
+    dictionary = cut_to_table(encode.fit_dictionary(train, hot), "categories")
     params = scale.fit_scaler(train, scaled, config.scaling)
-    coded = encode.one_hot(scale.apply_scaler(kept, params, scaled), categories)
-    names = scaled + plain + [f"{c}_{v}" for c, values in categories.items() for v in values]
-    coded = coded.fillna(0.0, subset=names)
-    return target.encode_label(coded, config.target_column, LABEL), names, params, categories
+    coded = scale.apply_scaler(kept, params, scaled).fillna(0.0, subset=scaled + plain)
+    coded, vectors = encode.one_hot_vectors(coded, dictionary, hot)
+    order = {c: i for i, c in enumerate(hot)}
+    # a name per element of the feature vector, as many as a fitted model has weights
+    shown = sorted(dictionary.collect(), key=lambda r: (order[r["column"]], r["index"]))
+    names = scaled + plain + [f"{r['column']}_{r['value']}" for r in shown]
+    return target.encode_label(coded, config.target_column, LABEL), names, params, scaled + plain + vectors
 
 
 def prepare(features: DataFrame, config: TrainingConfig) -> Prepared:
@@ -97,13 +103,13 @@ def prepare(features: DataFrame, config: TrainingConfig) -> Prepared:
     if lost:
         warnings.warn(f"The table has no column {', '.join(lost)}", stacklevel=2)
     rows = cut_lineage(label_and_split(features, config))
-    coded, names, params, categories = encode_rows(rows, config)
-    assembler = VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error")
+    coded, names, params, columns = encode_rows(rows, config)
+    assembler = VectorAssembler(inputCols=columns, outputCol=FEATURES, handleInvalid="error")
     extra = ["_rule"] if "_rule" in coded.columns else []
     vectors = assembler.transform(coded).select(config.id_column, "split", LABEL, FEATURES, *extra)
     train = vectors.filter("split = 'train'")
     weights = cut_lineage(target.class_weights(train, LABEL, config.weights))
-    return Prepared(cut_lineage(target.add_row_weight(vectors, weights)), names, params, categories, weights)
+    return Prepared(cut_lineage(target.add_row_weight(vectors, weights)), names, params, weights)
 
 
 def fit_model(prepared: Prepared, name: str, **params) -> Model:

@@ -121,6 +121,31 @@ def one_hot(spark, d):
     return encode.one_hot(rows, known)
 
 
+_KEYED = ["Reporting_Airline", "Origin", "Dest", "Tail_Number"]
+_DICTIONARY = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS index "
+    f"FROM (SELECT DISTINCT {c} AS v FROM legs WHERE {c} IS NOT NULL)" for c in _KEYED)
+
+
+@query("category_dictionary", sql(["legs"], _DICTIONARY))
+def category_dictionary(spark, d):
+    return encode.fit_dictionary(legs(spark, d), _KEYED)
+
+
+@query("sparse_indicators", sql(["legs"], f"""
+SELECT FlightID, {', '.join(f'{c}_d.index AS {c}_index' for c in _KEYED)} FROM legs
+{' '.join(f'LEFT JOIN d AS {c}_d ON {c}_d."column" = {chr(39)}{c}{chr(39)} AND {c}_d.value = {c}' for c in _KEYED)}""",
+    d=_DICTIONARY.replace("FROM legs WHERE", "FROM legs WHERE Dest <> 'A6' AND")))
+def sparse_indicators(spark, d):
+    """Place of each indicator; legs to A6 are not fitted, so a value seen there only has none."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = legs(spark, d).select("FlightID", *_KEYED)
+    coded, vectors = encode.one_hot_vectors(rows, encode.fit_dictionary(rows.filter("Dest <> 'A6'"), _KEYED), _KEYED)
+    place = [F.array_position(vector_to_array(v), 1.0) for v in vectors]
+    return coded.select("FlightID", *[F.when(p > 0, p - 1).cast("int").alias(f"{c}_index") for c, p in zip(_KEYED, place)])
+
+
 @query("dummies_null", sql(["legs"], """
 SELECT FlightID, CASE WHEN ArrTime IS NULL THEN NULL WHEN ArrDelay >= 15 THEN 1.0 ELSE 0.0 END::DOUBLE AS late_flag,
   CASE WHEN Tail_Number IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS tail_nan,

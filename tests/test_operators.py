@@ -311,6 +311,17 @@ def test_mode_of_long_text_is_the_text(spark):
     assert [(r["column"], r["unique_count"]) for r in constant] == [("n", 1)]
 
 
+def test_100000_categories_as_sparse_vectors(spark):
+    df = spark.range(120_000).select("id", F.concat(F.lit("v"), F.lpad((F.col("id") % 100_001).cast("string"), 6, "0")).alias("c"), F.lit(None).cast("string").alias("none"))
+    dictionary = encode.fit_dictionary(df.filter("c <> 'v100000'"), ["c", "none"])
+    assert dictionary.agg(F.count("*"), F.min("index"), F.max("index"), F.countDistinct("index")).first()[:] == (100_000, 0, 99_999, 100_000)
+    coded, vectors = encode.one_hot_vectors(df, dictionary, ["c", "none"])
+    assert vectors == ["c_vector"] and len(coded.columns) == 4
+    got = {r["id"]: r["c_vector"] for r in coded.filter("id IN (0, 7, 99999, 100000, 100001)").collect()}
+    assert all(v.size == 100_000 for v in got.values())
+    assert {i: v.indices.tolist() for i, v in got.items()} == {0: [0], 7: [7], 99999: [99999], 100000: [], 100001: [0]}
+
+
 def test_many_categories(spark):
     df = spark.range(2500).select(F.concat(F.lit("c"), "id").alias("c"))
     assert len(encode.fit_categories(df, ["c"])["c"]) == 2500
