@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,6 +18,13 @@ from legwork.operators.ranking import exact_quantiles
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 FLOATING = (T.FloatType, T.DoubleType)
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+ATOMIC = (*NUMERIC, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+#: Bits of one bitmap of ``bitmap_construct_agg``; Spark fixes it.
+BITMAP_BITS = 1 << 15
+#: Columns whose bitmaps one aggregate builds; each such pack is merged by a task of its own.
+PACK_COLUMNS = 16
 
 
 def columns_of(df: DataFrame, kinds) -> list[str]:
@@ -58,15 +66,27 @@ def blank_profile(df: DataFrame) -> DataFrame:
 
 
 def value_counts_long(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, value, rows) for every distinct value; long text is held by its digest."""
-    entries = _long_entries(df, columns).select("column", _held("value").alias("value"))
-    return entries.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-
+    """(column, value, rows) for every distinct value; long text is held by its digest.
 
-def _long_entries(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    One grouped count per column: each reads its column alone and sums before the shuffle. Zero and
+    negative zero are one value.
+    """
     names = [n for n in df.columns if columns is None or n in columns]
-    pairs = [F.struct(F.lit(n).alias("column"), F.col(_q(n)).cast("string").alias("value")) for n in names]
-    return df.select(F.inline(F.array(*pairs)))
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, value string, rows bigint")
+    return reduce(DataFrame.unionAll, [
+        _values(df, n).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(n).alias("column"), F.col("value").cast("string").alias("value"), "rows")
+        for n in names
+    ])
+
+
+def _values(df: DataFrame, name: str) -> DataFrame:
+    """One column as ``value``, in a form that can be grouped."""
+    rows = df.select(F.col(_q(name)).alias("value"))
+    if isinstance(rows.schema["value"].dataType, ATOMIC):
+        return rows
+    return rows.select(F.col("value").cast("string").alias("value")).select(_held("value").alias("value"))
 
 
 def _held(value: str) -> Column:
@@ -90,7 +110,9 @@ def unique_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     texts = [n for n in texts if columns is None or n in columns]
     if not texts:
         return profile
-    long_text = _long_entries(df, texts).filter(F.length("value") > 64)
+    long_text = reduce(DataFrame.unionAll, [
+        df.select(F.lit(n).alias("column"), F.col(_q(n)).alias("value")).filter(F.length("value") > 64) for n in texts
+    ])
     won = profile.select("column", F.col("mode").alias("_won")).filter(F.length("_won") == 64)
     full = (
         long_text.withColumn("_won", _held("value")).join(won, ["column", "_won"])
@@ -101,6 +123,93 @@ def unique_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return profile.select(*names)
 
 
+def _as_whole(df: DataFrame, name: str) -> Column | None:
+    """A column as whole numbers, one per value; null where the value is no whole number."""
+    value, kind = F.col(_q(name)), df.schema[name].dataType
+    if isinstance(kind, WHOLE):
+        return value.cast("bigint")
+    if isinstance(kind, T.BooleanType):
+        return value.cast("int").cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, FLOATING):
+        return F.when((F.rint(value) == value) & (F.abs(value) < 2.0**53), value.cast("bigint"))
+    return None
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Exact distinct values and nulls per column: (column, unique_values, nan_values).
+
+    One pass finds the range of every column of whole numbers, dates or truth values (floating-point
+    columns count if all their values are whole). Ranges of at most 32,768 become one bitmap each, and
+    up to 16 columns share a scan that ships a bitmap per column and partition. Wider ranges are
+    bitmaps per bucket while those are smaller than the values of a partition. What is left (texts,
+    fractions, sparse numbers) is grouped by value, column by column: the list of its values would be
+    the dictionary itself. Rows are never unfolded into one row per column. The way taken changes the
+    cost, not the result.
+
+    NaN is one value; zero and negative zero are the same one; a column of nulls has none. An empty
+    table gives zeros. Long texts are compared by SHA-256. Repeated column names are an error.
+    """
+    names = [n for n in df.columns if columns is None or n in columns]
+    whole = {n: number for n in names if (number := _as_whole(df, n)) is not None}
+    part = _free_name(df, "part")
+    stats = df.withColumn(part, F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.coalesce(F.max(part), F.lit(0)) + 1).alias("parts"),
+        *[F.count(_q(n)).alias(f"known_{i}") for i, n in enumerate(names)],
+        *[f(whole[n]).alias(f"{f.__name__}_{i}") for i, n in enumerate(names) if n in whole for f in (F.count, F.min, F.max)],
+    ).first()  # one row
+
+    settled, narrow, branches = [], [], []
+    for i, n in enumerate(names):
+        known = stats[f"known_{i}"]
+        nulls = stats["rows"] - known
+        bits = n in whole and stats[f"count_{i}"] == known
+        low, high = (stats[f"min_{i}"], stats[f"max_{i}"]) if bits else (None, None)
+        if known == 0 or (bits and low == high):
+            settled.append((n, min(known, 1), nulls))
+        elif bits and high - low < BITMAP_BITS:
+            narrow.append((n, whole[n] - F.lit(low), nulls))
+        elif bits and high - low < 128 * stats["rows"] / stats["parts"]:  # 1 bit against 16 bytes a value
+            branches.append(_bucket_bits(df, n, whole[n] - F.lit(low), nulls))
+        else:
+            found = _values(df, n).filter("value IS NOT NULL").distinct().agg(F.count("value").alias("unique_values"))
+            branches.append(found.select(*_counted(n, "unique_values", nulls)))
+    for start in range(0, len(narrow), PACK_COLUMNS):
+        branches.append(_packed_bits(df, narrow[start:start + PACK_COLUMNS]))
+    schema = "column string, unique_values bigint, nan_values bigint"
+    return reduce(DataFrame.unionAll, branches, df.sparkSession.createDataFrame(settled, schema))
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _counted(name: str, unique: Column | str, nulls: int) -> list[Column]:
+    unique = F.col(unique) if isinstance(unique, str) else unique
+    return [F.lit(name).alias("column"), unique.cast("bigint").alias("unique_values"), F.lit(nulls).cast("bigint").alias("nan_values")]
+
+
+def _packed_bits(df: DataFrame, pack: Sequence[tuple[str, Column, int]]) -> DataFrame:
+    """Counts of several columns from one scan, one bitmap per column."""
+    maps = df.agg(*[F.bitmap_construct_agg(place).alias(f"b{i}") for i, (_, place, _) in enumerate(pack)])
+    entries = [F.struct(*_counted(n, F.bitmap_count(f"b{i}"), nulls)) for i, (n, _, nulls) in enumerate(pack)]
+    return maps.select(F.array(*entries).alias("e")).select(F.inline("e"))
+
+
+def _bucket_bits(df: DataFrame, name: str, place: Column, nulls: int) -> DataFrame:
+    """Count of one column from bitmaps of 32,768 neighbouring values."""
+    rows = df.select((place + 1).alias("place")).filter("place IS NOT NULL")
+    maps = rows.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    counted = maps.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("unique_values"))
+    return counted.select(*_counted(name, "unique_values", nulls))
+
+
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Columns with at most one distinct value, null counted as a value; one pass, nothing exploded."""
     names = [n for n in df.columns if columns is None or n in columns]
@@ -138,6 +247,15 @@ def duplicate_names(df: DataFrame) -> list[str]:
     return sorted({c for c in df.columns if df.columns.count(c) > 1})
 
 
+def _numbered(names: Sequence[str]) -> list[str]:
+    """Names made different: a repeated one carries its place among its equals."""
+    seen, result = Counter(), []
+    for name in names:
+        seen[name] += 1
+        result.append(name if seen[name] == 1 else f"{name}#{seen[name]}")
+    return result
+
+
 def numeric_profile(df: DataFrame) -> DataFrame:
     """Minimum, maximum, mean, deviation, zeros and negatives of every numeric column."""
     names = columns_of(df, NUMERIC)
@@ -174,7 +292,7 @@ def column_catalogue(df: DataFrame, dropped: Sequence[str] = tuple(schemas.FEATU
         .when(name == schemas.DELAY_COLUMN, "Target")
         .otherwise("Undefined")
     )
-    counted = unique_profile(df).select("column", "unique_values", "nan_values")
+    counted = distinct_counts(df)
     return schema_report(df).join(counted, "column", "left").select(
         "column",
         "data_type",
@@ -196,7 +314,10 @@ def completed_null_profile(legs: DataFrame, allowed: Sequence[str] = tuple(schem
 
 
 def issue_report(df: DataFrame) -> DataFrame:
-    """Quality findings with severity; a single ``ok`` row when there are none."""
+    """Quality findings with severity; a single ``ok`` row when there are none.
+
+    Columns that share a name are reported, and looked at one by one: the second ``a`` is ``a#2``.
+    """
     def lines(found: DataFrame, severity: str, check: str, count: str, what: str, share: str | None) -> DataFrame:
         number = F.format_number(F.col(count), 0)
         text = F.concat(F.col("column"), F.lit(": "), number, F.lit(f" {what}"))
@@ -207,6 +328,8 @@ def issue_report(df: DataFrame) -> DataFrame:
         )
 
     repeated = duplicate_names(df)
+    if repeated:
+        df = df.toDF(*_numbered(df.columns))
     rows = duplicate_counts(df)
     parts = [
         rows.filter("rows = 0").select(F.lit("error").alias("severity"), F.lit("row_count").alias("check"),
@@ -363,7 +486,7 @@ def quartiles_by(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def keep_columns(df: DataFrame, no_nulls: bool = False, min_unique: int = 2, max_unique: int | None = None) -> list[str]:
     """Names of columns without nulls and with a number of distinct values in a range."""
-    profile = unique_profile(df).filter(F.col("unique_values") >= min_unique)
+    profile = distinct_counts(df).filter(F.col("unique_values") >= min_unique)
     if no_nulls:
         profile = profile.filter("nan_values = 0")
     if max_unique is not None:

@@ -100,6 +100,17 @@ def unique_profile(spark, d):
     return found.select("column", "unique_values", "nan_values", "mode", *rounded("mode_share"))
 
 
+_COUNTED = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+
+
+@query("distinct_counts", sql([], _union(
+    _COUNTED, "SELECT '{c}' AS \"column\", CAST(count(DISTINCT {q}) AS BIGINT) AS unique_values, "
+              "CAST(count(*) FILTER (WHERE {q} IS NULL) AS BIGINT) AS nan_values FROM {t}", "lineitem")))
+def distinct_counts(spark, d):
+    """Distinct values by bitmaps where the range allows it."""
+    return profile.distinct_counts(views.table(spark, d, "lineitem"), _COUNTED)
+
+
 @query("numeric_profile", _union(
     ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
     "SELECT '{c}' AS \"column\", CAST(min({q}) AS DOUBLE) AS \"min\", CAST(max({q}) AS DOUBLE) AS \"max\", round(avg({q}), 6) AS mean, "

@@ -311,6 +311,47 @@ def test_mode_of_long_text_is_the_text(spark):
     assert [(r["column"], r["unique_count"]) for r in constant] == [("n", 1)]
 
 
+def test_distinct_counts_against_sets(spark, capsys):
+    wide = -(2**63)
+    rows = [(i % 7, wide if i % 3 else 2**63 - 1, float(i % 5), i / 4, i % 2 == 0, f"2020-01-{i % 20 + 1:02d}", None, i,
+             float("nan") if i % 50 == 1 else None if i % 50 == 2 else float(i % 9), "x" * 80 + str(i % 6), [i % 4], -0.0 if i % 2 else 0.0)
+            for i in range(1000)]
+    schema = ("small int, sparse bigint, round double, fraction double, flag boolean, day string, nothing int, part bigint, "
+              "holes double, long string, list array<int>, zero double")
+    df = spark.createDataFrame(rows, schema).withColumn("day", F.col("day").cast("date"))
+    df = df.withColumn("dense", F.when(F.col("part") != 5, F.col("part") * 90 - 40_000))
+    counts = profile.distinct_counts(df)
+    got = {r["column"]: (r["unique_values"], r["nan_values"]) for r in counts.collect()}
+    want = {"small": (7, 0), "sparse": (2, 0), "round": (5, 0), "fraction": (1000, 0), "flag": (2, 0), "day": (20, 0),
+            "nothing": (0, 1000), "part": (1000, 0), "holes": (10, 20), "long": (6, 0), "list": (4, 0), "zero": (1, 0),
+            "dense": (999, 1)}
+    assert got == want
+    profiled = {r["column"]: (r["unique_values"], r["nan_values"]) for r in profile.unique_profile(df).collect()}
+    assert profiled == want
+    profile.value_counts_long(df).explain()
+    assert "Generate" not in capsys.readouterr().out
+    counts.explain()
+    assert "Expand" not in capsys.readouterr().out
+    none = profile.distinct_counts(df.limit(0)).collect()
+    assert len(none) == 13 and all(r["unique_values"] == r["nan_values"] == 0 for r in none)
+    assert profile.value_counts_long(df, []).count() == 0
+
+
+def test_dense_numbers_become_bitmaps_per_bucket(spark, capsys):
+    df = spark.range(200_000).select((F.col("id") * 2 - 77_777).alias("n"))
+    counts = profile.distinct_counts(df.union(df.filter("n % 3 = 0")))
+    counts.explain()
+    assert "bitmap_construct_agg" in capsys.readouterr().out
+    assert counts.collect()[0][:] == ("n", 200_000, 0)
+
+
+def test_issues_of_columns_with_one_name(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, float("nan"))], "a int, b string, c double").toDF("a", "a", "b")
+    found = {r["check"]: r["details"] for r in profile.issue_report(df).collect()}
+    assert found["duplicate_columns"] == "['a']" and found["null_values"].startswith("a#2: 2 nulls")
+    assert found["nan_values"].startswith("b: 1 NaNs")
+
+
 def test_100000_categories_as_sparse_vectors(spark):
     df = spark.range(120_000).select("id", F.concat(F.lit("v"), F.lpad((F.col("id") % 100_001).cast("string"), 6, "0")).alias("c"), F.lit(None).cast("string").alias("none"))
     dictionary = encode.fit_dictionary(df.filter("c <> 'v100000'"), ["c", "none"])
