@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from legwork.functions.scalars import flag, same
 from legwork.functions.times import minutes_between
 from legwork.operators.ranking import LAST_HOUR, positions, previous_row
+from legwork.session import cut_to_table
 
 PREVIOUS_FIELDS = [
     "FlightID", "Dest", "Origin", "FlightDate", "Reporting_Airline", "Cancelled", "Diverted",
@@ -57,12 +58,19 @@ def add_previous_leg(legs: DataFrame) -> DataFrame:
 
 
 def add_turnaround(linked: DataFrame) -> DataFrame:
-    """Planned turnaround (mean where there is none) and time since a broken chain."""
+    """Planned turnaround (mean where there is none) and time since a broken chain.
+
+    The linked legs are written once below the shared folder; their mean is observed during that
+    write, so the chain runs a single time and what follows reads the stored rows. Without any
+    turnaround the mean, and so the column, is null.
+    """
     gap = minutes_between(F.col("prev.CRSArrDateTime_UTC"), F.col("CRSDepDateTime_UTC"))
     has = F.col("has_prev_flight") == 1
     timed = linked.withColumn("_turn", F.when(has, gap))
-    mean = timed.agg(F.avg("_turn")).scalar()
-    return timed.withColumns(
+    seen = Observation()
+    stored = cut_to_table(timed.observe(seen, F.avg("_turn").alias("mean")), "linked")
+    mean = F.lit(seen.get["mean"]).cast("double")
+    return stored.withColumns(
         {
             "CRSTurnaroundTime": F.coalesce(F.col("_turn"), mean),
             "Time_since_last_certified_record": F.coalesce(F.when(~has & F.col("_found"), gap), F.lit(0.0)),

@@ -23,13 +23,13 @@ def feature_table(
     """All features of the completed legs between listed airports.
 
     ``legs`` should be a stored table. State and chain see every cleaned leg; history and
-    lags see the completed ones only. The chained legs are written once in between,
-    because every lookup table below is derived from them. The lookup tables are written
+    lags see the completed ones only. The chain writes its linked legs once, and
+    every lookup table below is derived from those stored rows. The lookup tables are written
     too: Spark then knows their size when it plans the joins, and broadcasts those
     below its threshold instead of shuffling the legs for each. With ``keep_keys`` the
     leg id and day stay in the table.
     """
-    chained = cut_to_table(chain.add_chain(legs), "chained")
+    chained = chain.add_chain(legs)
     known = airports.filter(F.col("iata_code").isin(list(scope))).select("iata_code")
     base = clean.training_rows(chained, list(scope), min_year)
     for end in ("Origin", "Dest"):

@@ -29,6 +29,11 @@ SELECT *, CASE WHEN due_in AND NOT landed THEN date_diff('second', p_crs_arr, In
   WHEN is_out THEN p_dd ELSE 0 END AS known_delay FROM known""", ["known"])
 
 
+def linked_columns(spark, d):
+    """The columns that the chain reads; it stores the rows it links."""
+    return legs(spark, d).select("Tail_Number", "Information_time_UTC", *chain.PREVIOUS_FIELDS)
+
+
 @query("prev_leg_chain", sql(["linked"], f"""
 SELECT FlightID, CAST(p_id AS DOUBLE) AS prev_id, strftime(p_crs_arr, '%Y-%m-%d %H:%M:%S') AS prev_crs_arr,
   CASE WHEN same_air THEN 0 ELSE 1 END AS FirstFlightRecord, CASE WHEN has THEN 1 ELSE 0 END AS has_prev_flight,
@@ -54,7 +59,7 @@ SELECT FlightID, round(known_delay, 6) AS Prev_flight_DelayMinutes, CASE WHEN is
   CASE WHEN landed THEN coalesce(p_carrier, 0) ELSE 0 END AS CarrierDelay_prev_flight_delay_info
 FROM known2"""))
 def prev_leg_known_delay(spark, d):
-    facts = chain.add_known_delay(chain.add_turnaround(chain.add_previous_leg(legs(spark, d))))
+    facts = chain.add_known_delay(chain.add_turnaround(chain.add_previous_leg(linked_columns(spark, d))))
     return facts.select(
         "FlightID", *rounded("Prev_flight_DelayMinutes", "Expected_Tournaround_time"),
         "Prev_flight_has_departed", "Airplane_already_at_airport",
@@ -68,7 +73,7 @@ SELECT FlightID, round(crs_turn, 6) AS CRSTurnaroundTime,
     AS Time_since_last_certified_record
 FROM known"""))
 def turnaround(spark, d):
-    timed = chain.add_turnaround(chain.add_previous_leg(legs(spark, d)))
+    timed = chain.add_turnaround(chain.add_previous_leg(linked_columns(spark, d)))
     return timed.select("FlightID", *rounded("CRSTurnaroundTime", "Time_since_last_certified_record"))
 
 
@@ -86,5 +91,5 @@ def legs_per_day(spark, d):
 SELECT FlightID, Tail_Number, round(crs_turn, 6) AS CRSTurnaroundTime FROM known
 WHERE crs_turn < -15 AND Cancelled <> 1 AND Diverted <> 1"""))
 def negative_turnaround(spark, d):
-    rows = chain.negative_turnarounds(legs(spark, d))
+    rows = chain.negative_turnarounds(linked_columns(spark, d))
     return rows.select("FlightID", "Tail_Number", *rounded("CRSTurnaroundTime"))

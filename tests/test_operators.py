@@ -127,6 +127,19 @@ def test_known_delay_rules(spark):
     assert got[8]["is_Return_flight"] == 1 and got[1]["CRSTurnaroundTime"] == pytest.approx((60 + 180 + 180) / 3)
 
 
+def test_turnaround_runs_the_chain_once(spark, capsys):
+    rows = [leg(1, "T", 600, "A", "B"), leg(2, "T", 900, "B", "A"), leg(3, "U", 600, "A", "B")]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], LEG)
+    timed = chain.add_turnaround(chain.add_previous_leg(df))
+    timed.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Scan") == 1 and "Exchange" not in plan
+    assert {r["FlightID"]: r["CRSTurnaroundTime"] for r in timed.collect()} == {1: 180, 2: 180, 3: 180}
+    alone = chain.add_turnaround(chain.add_previous_leg(df.filter("FlightID <> 2")))
+    assert [r["CRSTurnaroundTime"] for r in alone.collect()] == [None, None]
+    assert chain.add_turnaround(chain.add_previous_leg(df.filter("FlightID > 9"))).count() == 0
+
+
 def test_scaler(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (2.0, 5.0)], "a double, b double")
     got = scale.apply_scaler(df, scale.fit_scaler(df, ["a", "b"]), ["a", "b"]).collect()
@@ -196,15 +209,20 @@ def test_components_of_a_long_path(spark):
     assert sizes[-2:] == [2, 400] and sum(sizes) == 502
 
 
-def test_core_number_by_peeling(small_graph):
-    pairs, ids, near, n = small_graph
-    core, left, k = {}, {i: set(near[i]) for i in range(n)}, 0
+def peeled(near):
+    core, left, k = {}, {i: set(found) for i, found in near.items()}, 0
     while left:
         i = min(left, key=lambda x: len(left[x]))
         k = max(k, len(left[i]))
         core[i] = k
         for j in left.pop(i):
             left[j].discard(i)
+    return core
+
+
+def test_core_number_by_peeling(small_graph):
+    pairs, ids, near, n = small_graph
+    core = peeled({i: near[i] for i in range(n)})
     assert {r["id"]: r["core_number"] for r in graph.core_numbers(pairs, ids).collect()} == core
 
 
