@@ -73,8 +73,9 @@ def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(text).alias("text"),
     )
-    packs = chat_tree.pack_conversations(turns.unionByName(trap))
-    return packs.mapInPandas(chat_tree.read_back, chat_tree.READ_TYPE)
+    with open(token_counts.DEFAULT_VOCABULARY, "rb") as ranks:
+        encode = chat_tree.Vocabulary(ranks.read(), token_counts.PATTERN)
+    return chat_tree.digests(chat_tree.pack_conversations(turns.unionByName(trap), encode=encode))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

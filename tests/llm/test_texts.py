@@ -150,6 +150,73 @@ def test_packs_in_tokens_of_an_encoder(spark):
     assert chat_tree.pack_conversations(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def told(turns):
+    """Per conversation what the digests of its turns must be."""
+    out = {}
+    for conv, said in grouped(turns).items():
+        loss = "".join(t for role, t in said if role == "assistant")
+        out[conv] = (
+            len(said), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in said).encode()).hexdigest(),
+            len(loss), hashlib.sha256(loss.encode()).hexdigest(), sum(len(chat_tree.formatted(*x)[0]) for x in said),
+        )
+    return out
+
+
+DIGESTS = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@pytest.mark.parametrize("part_turns, part_chars", [(8, 1 << 20), (1 << 20, 700), (1, 1)])
+def test_chat_parts_of_long_conversations(spark, monkeypatch, part_turns, part_chars):
+    monkeypatch.setattr(chat_tree, "PART_TURNS", part_turns)
+    monkeypatch.setattr(chat_tree, "PART_CHARS", part_chars)
+    rng = random.Random(5)
+    turns = conversations()
+    turns += [(None, t % 40, ["user", "assistant"][t % 2], "ok") for t in range(400)]  # rows without id, many equal
+    turns += [(None, 1 + t % 7, "user", prose(rng, 5)) for t in range(300)]
+    turns = list(dict.fromkeys(turns)) + [(None, 3, "assistant", "ok")] * 50
+    df = spark.createDataFrame(turns, TURNS).withColumn("part", F.lit("own")).repartition(5)
+    packs = chat_tree.pack_conversations(df, pack_tokens=3000).cache()
+    got = {r["conv_id"]: tuple(r[c] for c in DIGESTS) for r in chat_tree.digests(packs).collect()}
+    assert got == told(turns)
+    if part_turns == 8:  # three conversations share 300 turns: their parts share nodes, too
+        whole = sum(len(chat_tree.formatted(a, b)[0]) for c, s in grouped(turns).items() if c in (200, 201, 202) for a, b in s)
+        deep = packs.filter("exists(conv_id, c -> c in (200, 201, 202))")
+        seen = sum(p["text"].count("deep ") for p in deep.collect())
+        assert seen < 500 and whole > 0
+    bases = {}
+    for p in packs.collect():
+        for conv, part, parts, node in zip(p["conv_id"], p["conv_part"], p["conv_parts"], p["conv_node"], strict=True):
+            root = node
+            while p["node_parent"][root] >= 0:
+                root = p["node_parent"][root]
+            end = p["node_position"][node] + p["node_end"][node] - p["node_start"][node]
+            bases[conv, part] = (p["node_position"][root], end, parts)
+    for (conv, part), (begin, end, parts) in bases.items():  # positions run on from part to part
+        assert begin == (bases[conv, part - 1][1] if (conv, part - 1) in bases else 0)
+        assert end == got[conv][4] or any((conv, q) in bases for q in range(part + 1, part + 2000))
+
+
+def test_equal_conversations_fill_packs(spark):
+    turns = [(c, t, "user", "same") for c in range(300) for t in range(2)]
+    packs = chat_tree.pack_conversations(spark.createDataFrame(turns, TURNS), pack_tokens=150).cache()
+    assert max(len(p["conv_id"]) for p in packs.collect()) < 150
+    got = {r["conv_id"]: tuple(r[c] for c in DIGESTS) for r in chat_tree.digests(packs).collect()}
+    assert got == told(turns)
+
+
+def test_packs_of_a_vocabulary(spark):
+    with open(token_counts.DEFAULT_VOCABULARY, "rb") as ranks:
+        encode = chat_tree.Vocabulary(ranks.read(), token_counts.PATTERN)
+    turns = conversations()
+    packs = chat_tree.pack_conversations(spark.createDataFrame(turns, TURNS), encode=encode).cache()
+    got = {r["conv_id"]: tuple(r[c] for c in DIGESTS) for r in chat_tree.digests(packs).collect()}
+    assert got == told(turns)
+    for p in packs.collect():
+        ends = [*p["node_char"][1:], len(p["text"])]
+        for n, (a, b) in enumerate(zip(p["node_start"], p["node_end"], strict=True)):
+            assert p["token_ids"][a:b] == encode(p["text"][p["node_char"][n] : ends[n]])
+
+
 @pytest.mark.parametrize("text", ["", "\\", "\\-", "\\n", "[\\-INST]", "<s></s><<s>", "[INST][[/INST]", "<<SYS>>\n<</SYS>>"])
 def test_escape_is_reversible(text):
     safe = chat_tree.escaped(text)
