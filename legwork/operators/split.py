@@ -156,8 +156,22 @@ def hash_sample(df: DataFrame, id_column: str, fraction: float) -> DataFrame:
 
 
 def hash_sample_n(df: DataFrame, id_column: str, n: int) -> DataFrame:
-    """``n`` rows by smallest id hash."""
-    return df.orderBy(hash32(F.col(id_column)), id_column).limit(n)
+    """``n`` rows by smallest id hash; rows that share the id at the cut are kept or left together.
+
+    The (hash, id) at place ``n`` is looked up and rows are compared with it, so the sample is
+    neither sorted nor gathered in one task. A null id comes last and is never at a cut.
+    """
+    if n <= 0:
+        return df.limit(0)
+    place = hash32(F.col(id_column)), F.col(id_column)
+    keys = df.select(*[c.alias(name) for c, name in zip(place, ("_h", "_id"))])
+    levels = [F.floor(F.col("_h") / 1048576), F.col("_h")]
+    cut = cut_rows(keys.filter("_id IS NOT NULL"), [], levels, ["_h", "_id"], {"n": F.lit(n)}).first()
+    if cut is None:  # all rows with an id fit
+        spare = n - keys.filter("_id IS NOT NULL").count()
+        known = df.filter(F.col(id_column).isNotNull())
+        return known.unionByName(df.filter(F.col(id_column).isNull()).limit(spare))
+    return df.filter((place[0] < cut["_h"]) | ((place[0] == cut["_h"]) & (place[1] < cut["_id"])))
 
 
 def split_summary(df: DataFrame, time_column: str, name: str = "split") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from legwork.registry.base import query, raw, sql
 from legwork.schemas import RAW_LEG_TYPES
 from legwork.session import scratch_path
-from legwork.sources import sinks, tables, views
+from legwork.sources import archive, sinks, tables, views
 
 _COLS = ", ".join(f'"{c}"' for c in RAW_LEG_TYPES)
 
@@ -43,6 +43,16 @@ def monthly_copy(spark, d):
         F.count(F.lit(1)).alias("legs"), F.count("ArrTime").alias("arrived"))
 
 
+@query("archive_ingest", sql(["raw"], f"SELECT {_COLS} FROM raw"))
+def archive_ingest(spark, d):
+    """Two ingests: the second reads only the archives that the first did not load."""
+    path = scratch_path(spark, "archives")
+    written = archive.write_archives(raw(spark, d), path)
+    first = written.filter(F.crc32("archive") % 2 == 0)
+    early = archive.read_archives(spark, path, written.join(first, "archive", "left_anti"))
+    return early.unionByName(archive.read_archives(spark, path, first)).drop("archive")
+
+
 @query("scan_by_suffix", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_by_suffix(spark, d):
     customer = tables.read_table(spark, f"{d}/customer.parquet")
@@ -66,6 +76,19 @@ def edge_csv(spark, d):
     return tables.read_graph(spark, path, nodes)[0]
 
 
+@query("node_csv", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 17 = 0 THEN 1 ELSE 0 END AS dead_account,
+  ['EN', 'DE', 'FR', 'ES', 'NL', 'OTHER'][c_nationkey % 6 + 1] AS language,
+  CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS affiliate_status,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS explicit_content,
+  CAST(floor(greatest(c_acctbal, 0)) AS BIGINT) AS view_count, c_custkey * 37 % 2000 AS account_lifetime FROM customer""")
+def node_csv(spark, d):
+    path = sinks.write_csv(views.edges(spark, d), scratch_path(spark, "edges"))
+    nodes = sinks.write_csv(views.nodes(spark, d), scratch_path(spark, "nodes"))
+    columns = ["id", "dead_account", "language", "affiliate_status", "explicit_content", "view_count", "account_lifetime"]
+    return tables.read_graph(spark, path, nodes)[1].select(*columns)
+
+
 @query("station_columns", sql(["airport_dim"], """
 SELECT iata_code, airport_station, closest_station_1, CAST(closest_station_1_distance AS DOUBLE) AS closest_station_1_distance, closest_station_2,
   CAST(closest_station_2_distance AS DOUBLE) AS closest_station_2_distance, closest_station_3, CAST(closest_station_3_distance AS DOUBLE) AS closest_station_3_distance FROM airport_dim"""))

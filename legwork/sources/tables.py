@@ -109,11 +109,17 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).option("sep", " ").csv(path)
 
 
+def _by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """CSV columns found by their names in the header, whatever their order; absent ones are null."""
+    kinds = [c.strip().split() for c in schema.split(",")]
+    rows = spark.read.option("header", True).csv(path)
+    found = {name: F.col(f"`{name}`") if name in rows.columns else F.lit(None) for name, _ in kinds}
+    return rows.select([found[name].try_cast(kind).alias(name) for name, kind in kinds])
+
+
 def read_graph(spark: SparkSession, edges_path: str, nodes_path: str) -> tuple[DataFrame, DataFrame]:
-    """Edge and node CSV files under their documented columns."""
-    edges = spark.read.schema(EDGE_SCHEMA).option("header", True).csv(edges_path)
-    nodes = spark.read.schema(NODE_SCHEMA).option("header", True).csv(nodes_path)
-    return edges, nodes
+    """Edge and node CSV files under their documented columns; a value of another kind is null."""
+    return _by_name(spark, edges_path, EDGE_SCHEMA), _by_name(spark, nodes_path, NODE_SCHEMA)
 
 
 def preview(df: DataFrame, rows: int = 1000) -> DataFrame:

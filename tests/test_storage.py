@@ -10,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from legwork import schemas
-from legwork.operators import clean
+from legwork.functions.scalars import hash32
+from legwork.operators import clean, split
 from legwork.plans import models, training, tuning
-from legwork.sources import archive, runs, tables
+from legwork.sources import archive, runs, sinks, tables
 
 
 def test_guards(spark, tmp_path, monkeypatch):
@@ -49,6 +50,45 @@ def test_archives(spark, tmp_path):
     assert {r["Month"] for r in archive.read_archives(spark, str(tmp_path), loaded).collect()} == {2}
 
 
+def test_written_archives_read_back_member_by_member(spark, tmp_path):
+    names = list(schemas.RAW_LEG_TYPES)
+    kinds = ", ".join(f"`{n}` {k}" for n, k in schemas.RAW_LEG_TYPES.items())
+    base = spark.createDataFrame([], kinds)
+    rows = spark.range(700).select(
+        F.lit(2024).alias("Year"), (F.col("id") % 3 + 1).alias("Month"), F.col("id").alias("CRSDepTime"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit('a,"b"\n'), F.col("id").cast("string"))).alias("Tail_Number"))
+    legs = base.unionByName(rows.select(*[F.col(n).cast(schemas.RAW_LEG_TYPES[n]).alias(n) for n in rows.columns]), allowMissingColumns=True)
+    written = archive.write_archives(legs, str(tmp_path / "zips"), member_rows=50)
+    assert written.agg(F.sum("rows")).first()[0] == 700
+    found = archive.read_archives(spark, str(tmp_path / "zips"))
+    assert found.rdd.getNumPartitions() == written.agg(F.sum("members")).first()[0] > 12
+    assert found.select(*names).exceptAll(legs.select(*names)).count() == 0 and found.count() == 700
+    assert archive.read_archives(spark, str(tmp_path / "zips"), written).count() == 0
+    nothing = archive.write_archives(base, str(tmp_path / "none"))
+    assert nothing.count() == 0
+
+
+def test_graph_files_are_read_by_name(spark, tmp_path):
+    sinks.write_csv(spark.sql("SELECT 7 AS target_id, 1 AS src_id"), str(tmp_path / "e"))
+    names = [c.split()[0] for c in schemas.NODE_SCHEMA.split(",")]
+    nodes = spark.sql("SELECT " + ", ".join(f"'x{i}' AS {n}" if n == "language" else f"{i} AS {n}" for i, n in enumerate(reversed(names))))
+    sinks.write_csv(nodes, str(tmp_path / "n"))
+    edges, found = tables.read_graph(spark, str(tmp_path / "e"), str(tmp_path / "n"))
+    assert [tuple(r) for r in edges.collect()] == [(1, 7)]
+    row = found.first().asDict()
+    assert {n: str(row[n]).lstrip("x") for n in names if n not in ("creation_date", "last_stream")} == {
+        n: str(i) for i, n in enumerate(reversed(names)) if n not in ("creation_date", "last_stream")}
+
+
+def test_sample_of_n_by_the_row_at_its_place(spark):
+    ids = [(i,) for i in range(500)] + [(None,), (None,)]
+    df = spark.createDataFrame(ids, "id long")
+    order = [r["id"] for r in df.filter("id IS NOT NULL").orderBy(hash32(F.col("id")), "id").collect()]
+    for n in (0, 1, 137, 499, 500, 501, 502, 900):
+        found = [r["id"] for r in split.hash_sample_n(df, "id", n).collect()]
+        assert len(found) == min(n, 502) and set(order[:n]) <= set(found)
+
+
 def test_null_in_integer_column_fails(spark, tmp_path):
     names = list(schemas.RAW_LEG_TYPES)
     (tmp_path / "x.csv").write_text(",".join(names) + "\n" + "," * (len(names) - 1) + "\n")
