@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legwork.functions.scalars import flag, same
@@ -60,16 +60,16 @@ def add_previous_leg(legs: DataFrame) -> DataFrame:
 def add_turnaround(linked: DataFrame) -> DataFrame:
     """Planned turnaround (mean where there is none) and time since a broken chain.
 
-    The linked legs are written once below the shared folder; their mean is observed during that
-    write, so the chain runs a single time and what follows reads the stored rows. Without any
-    turnaround the mean, and so the column, is null.
+    The linked legs are written once below the shared folder, so the chain runs a single time; the
+    mean is read from one column of the stored rows. (An observation during the write would save
+    that read, but it leaves the session unserializable, and models with a training summary carry
+    the session into their tasks.) Without any turnaround the mean, and so the column, is null.
     """
     gap = minutes_between(F.col("prev.CRSArrDateTime_UTC"), F.col("CRSDepDateTime_UTC"))
     has = F.col("has_prev_flight") == 1
     timed = linked.withColumn("_turn", F.when(has, gap))
-    seen = Observation()
-    stored = cut_to_table(timed.observe(seen, F.avg("_turn").alias("mean")), "linked")
-    mean = F.lit(seen.get["mean"]).cast("double")
+    stored = cut_to_table(timed, "linked")
+    mean = F.lit(stored.agg(F.avg("_turn").alias("mean")).first()["mean"]).cast("double")
     return stored.withColumns(
         {
             "CRSTurnaroundTime": F.coalesce(F.col("_turn"), mean),

@@ -19,6 +19,7 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame, SparkSession
 
 from legwork.plans.boosting import HistogramBoosting
+from legwork.plans.kernel import FourierFeatures, RadialFeatures
 
 SEED = 42
 FEATURES, LABEL = "features", "label"
@@ -62,9 +63,19 @@ def naive_bayes(**params) -> Estimator:
     return NaiveBayes(**_columns(), modelType="gaussian", **params)
 
 
-def svc(**params) -> Estimator:
-    machine = LinearSVC(**_columns("scaled"), **{"regParam": 0.01, "maxIter": 100, **params})
-    return _scaled(OneVsRest(classifier=machine, **_columns("scaled")))
+def svc(kernel: str = "rbf", gamma: str | float = "scale", components: int = 512, **params) -> Estimator:
+    """Support vectors, one class against the rest; the radial kernel stands on random Fourier features."""
+    if kernel not in ("rbf", "linear"):
+        raise ValueError(f"Unsupported kernel: {kernel}")
+    column = "scaled" if kernel == "linear" else "radial"
+    machine = LinearSVC(**_columns(column), **{"regParam": 0.01 if kernel == "linear" else 1e-4, "maxIter": 100, **params})
+    pipeline = _scaled(OneVsRest(classifier=machine, **_columns(column)))
+    if kernel == "linear":
+        return pipeline
+    scaler, classes = pipeline.getStages()
+    rule = {"rule": gamma} if isinstance(gamma, str) else {"gamma": float(gamma)}
+    radial = RadialFeatures(inputCol="scaled", outputCol=column, components=components, seed=SEED, **rule)
+    return Pipeline(stages=[scaler, radial, classes])
 
 
 def decision_tree(**params) -> Estimator:
@@ -116,6 +127,8 @@ def with_weights(estimator: Estimator, weight_column: str | None) -> Estimator:
 
 def _weights_of(model: Model) -> np.ndarray | None:
     if isinstance(model, PipelineModel):
+        if any(isinstance(stage, FourierFeatures) for stage in model.stages):
+            return None  # the weights are those of cosines
         return _weights_of(model.stages[-1])
     if hasattr(model, "featureImportances"):
         return model.featureImportances.toArray()

@@ -68,6 +68,11 @@ def bayes(spark, d):
 
 @query("svc_linear")
 def svc_linear(spark, d):
+    return _scores(spark, d, "svc", kernel="linear")
+
+
+@query("svc_radial")
+def svc_radial(spark, d):
     return _scores(spark, d, "svc")
 
 
