@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from legwork.operators import encode, scale, split, target
 from legwork.registry.base import TS, cte, legs, query, rounded, sql, text
+from legwork.session import cut_to_table
 from legwork.sources import views
 
 _HASH = "(({id}) * 2654435761 % 4294967296)"
@@ -138,12 +139,10 @@ SELECT FlightID, {', '.join(f'{c}_d.index AS {c}_index' for c in _KEYED)} FROM l
     d=_DICTIONARY.replace("FROM legs WHERE", "FROM legs WHERE Dest <> 'A6' AND")))
 def sparse_indicators(spark, d):
     """Place of each indicator; legs to A6 are not fitted, so a value seen there only has none."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = legs(spark, d).select("FlightID", *_KEYED)
-    coded, vectors = encode.one_hot_vectors(rows, encode.fit_dictionary(rows.filter("Dest <> 'A6'"), _KEYED), _KEYED)
-    place = [F.array_position(vector_to_array(v), 1.0) for v in vectors]
-    return coded.select("FlightID", *[F.when(p > 0, p - 1).cast("int").alias(f"{c}_index") for c, p in zip(_KEYED, place)])
+    dictionary = cut_to_table(encode.fit_dictionary(rows.filter("Dest <> 'A6'"), _KEYED), "categories")
+    coded, vectors = encode.one_hot_vectors(rows, dictionary, _KEYED)
+    return coded.select("FlightID", *[encode.place_of(v).alias(f"{c}_index") for c, v in zip(_KEYED, vectors)])
 
 
 @query("dummies_null", sql(["legs"], """
