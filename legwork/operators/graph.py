@@ -140,6 +140,13 @@ def clustering(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     return joined.withColumn("clustering_coeff", ratio(2 * F.col("triangles"), possible)).drop("triangles")
 
 
+def _held(links: DataFrame, key: str) -> DataFrame:
+    """Links written once and held by ``key``: a round that joins them by it moves the nodes only."""
+    spark = links.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return cut_to_table(links, "links").repartition(parts, key).persist()
+
+
 def pagerank(
     pairs: DataFrame, ids: DataFrame, alpha: float = 0.85, max_rounds: int = 100, tolerance: float | None = 1e-6
 ) -> DataFrame:
@@ -148,10 +155,11 @@ def pagerank(
     Stops when the summed change falls below ``tolerance``; None runs all rounds.
     """
     degree = cut_lineage(degrees(pairs, ids))
-    links = cut_lineage(
+    links = _held(
         both_ways(pairs)
         .join(degree.select(F.col("id").alias("src"), "degree"), "src")
-        .select("src", "dst", (1.0 / F.col("degree")).alias("share"))
+        .select("src", "dst", (1.0 / F.col("degree")).alias("share")),
+        "src",
     )
     n = degree.count()
     ranks = cut_lineage(degree.select("id", "degree", F.lit(1.0 / n).alias("pagerank")))
@@ -175,6 +183,7 @@ def pagerank(
             change = following.agg(F.sum(F.abs(F.col("pagerank") - F.col("_old")))).first()[0]
             if change < tolerance:
                 break
+    links.unpersist()
     return ranks.select("id", "pagerank")
 
 
@@ -185,7 +194,7 @@ def core_numbers(pairs: DataFrame, ids: DataFrame) -> DataFrame:
     nothing changes. The values are counted per node first; a node sees at most
     as many distinct values as there are distinct degrees.
     """
-    adjacency = cut_to_table(both_ways(pairs), "adjacency")
+    adjacency = _held(both_ways(pairs), "dst")
     values = cut_to_table(degrees(pairs, ids).select("id", F.col("degree").alias("core")), "cores")
     while True:
         seen = (
@@ -203,6 +212,7 @@ def core_numbers(pairs: DataFrame, ids: DataFrame) -> DataFrame:
         updated = cut_to_table(updated, "cores")
         values = updated.drop("_old")
         if updated.filter("core <> _old").isEmpty():
+            adjacency.unpersist()
             return values.withColumnRenamed("core", "core_number")
 
 

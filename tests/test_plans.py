@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from legwork.operators import clean, weather
+from legwork.operators import clean, graph, weather
 from legwork.sources import views
 
 NOON = dt.datetime(2024, 1, 1, 12)
@@ -48,3 +48,17 @@ def test_unmatched_legs(spark):
 def test_unmatched_legs_are_not_shuffled_for_the_weather(spark):
     plan = unmatched(spark)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_links_of_a_graph_are_held_by_the_key_of_their_join(spark):
+    """Every round of PageRank and of the core numbers shuffled all links."""
+    pairs = spark.range(200).selectExpr("id % 10 AS a", "id + 10 AS b")
+    links = graph._held(graph.both_ways(pairs), "src")
+    links.count()
+    nodes = spark.range(210).withColumnRenamed("id", "src").withColumn("v", F.lit(1))
+    plan = links.join(nodes.hint("shuffle_merge"), "src")
+    plan.count()
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    links.unpersist()
+    before = shown[: shown.index("InMemoryTableScan")]
+    assert "InMemoryTableScan" in shown and "Exchange" not in before.split("SortMergeJoin")[-1]
