@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from legwork.operators import clean, graph, weather
+from legwork.plans import training, tuning
 from legwork.sources import views
 
 NOON = dt.datetime(2024, 1, 1, 12)
@@ -62,3 +64,22 @@ def test_links_of_a_graph_are_held_by_the_key_of_their_join(spark):
     links.unpersist()
     before = shown[: shown.index("InMemoryTableScan")]
     assert "InMemoryTableScan" in shown and "Exchange" not in before.split("SortMergeJoin")[-1]
+
+
+def test_fold_rows_lie_in_no_more_parts_than_cores(spark, monkeypatch):
+    """Every step of every fit sends the results of all tasks to the driver."""
+    rows = [(i, "train", float(i % 4), Vectors.dense(float(i % 7), float(i % 4)), 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, ["FlightID", "split", "label", "features", "weight"]).repartition(40)
+    times = spark.range(400).selectExpr("id AS FlightID", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, id) AS t")
+    seen = []
+    known = tuning._weighted
+
+    def weighted(part, weights):
+        seen.append(part.rdd.getNumPartitions())
+        return known(part, weights)
+
+    monkeypatch.setattr(tuning, "_weighted", weighted)
+    prepared = training.Prepared(df, ["a", "b"], None, None)
+    found = tuning.random_search(prepared, "naive_bayes", times, "t", "FlightID", n_iter=2, folds=2)
+    assert found.count() == 2
+    assert seen == [1] * 4
