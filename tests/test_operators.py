@@ -291,6 +291,38 @@ def test_neighbours_of_few_or_equal_rows(spark):
     assert neighbors.nearest(few.filter("false"), asked, "id", "v", "y").count() == 0
 
 
+def test_neighbours_among_many_copies_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 32)
+    monkeypatch.setattr(neighbors, "BLOCK_NUMBERS", 8 * 100)
+    monkeypatch.setattr(neighbors, "PART_NUMBERS", 8 * 10)
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(0, 3, (700, 8)).astype(float) * 0.1  # many ties
+    vectors[:300] = vectors[0]
+    vectors[690:] *= 1e9
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(vectors)], "id bigint, v array<double>, y int")
+    train, asked = df.filter("id % 7 <> 0"), df.filter("id % 7 = 0")
+    ids = np.array([i for i in range(700) if i % 7])
+    for p in (1, 2):
+        found = defaultdict(list)
+        for r in neighbors.nearest(train, asked, "id", "v", "y", k=6, p=p).collect():
+            found[r["query_id"]].append((r["dist"], r["train_id"], r["label"]))
+        for q in range(0, 700, 7):
+            dist = neighbors._distances(vectors[[q]], vectors[ids], p)[0]
+            best = np.lexsort((ids, dist))[:6]
+            assert sorted(found[q]) == [(dist[b], ids[b], ids[b] % 3) for b in best]
+
+
+def test_neighbour_queries_are_sent_to_blocks_not_to_leaves(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 10)
+    vectors = np.random.default_rng(5).normal(0, 1, (1000, 16))  # no clusters, so every leaf is asked
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "id bigint, v array<double>, y int")
+    sent = []
+    search = neighbors._search
+    monkeypatch.setattr(neighbors, "_search", lambda blocks, s, k, p: sent.append(s.count()) or search(blocks, s, k, p))
+    assert neighbors.nearest(df.filter("id >= 100"), df.filter("id < 100"), "id", "v", "y").count() == 1500
+    assert sum(sent) < 100 * 10  # of 90 leaves only those of the first visit stand alone
+
+
 def test_series_fills_empty_days(spark):
     log = spark.createDataFrame([(1, 2, "2024-01-01 10:00:00"), (1, 3, "2024-01-04 09:00:00"), (2, 1, "2024-01-07 23:00:00")], "src int, dst int, t string")
     log = log.withColumn("datetime", F.col("t").cast("timestamp_ntz"))
