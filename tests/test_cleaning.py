@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from legwork import schemas
+from legwork import schemas, session
 from legwork.functions import scalars as s
 from legwork.functions import times as t
 from legwork.operators import calendar, clean, target
+from legwork.sources import views
 
 
 
@@ -118,3 +119,12 @@ def test_observed_holidays(spark):
 def test_blank_and_infinite(spark):
     df = spark.createDataFrame([(" \t\n",), ("",), ("a ",), ("\u3000",)], "x string")
     assert [r[0] for r in df.select(s.is_blank(F.col("x"))).collect()] == [True, True, False, True]
+
+
+def test_parts_of_legs_are_bounded_and_follow_the_time(spark, monkeypatch):
+    monkeypatch.setattr(session, "LEAST_ROWS", 1)
+    monkeypatch.setattr(session, "MOST_ROWS", 10)
+    legs = views.raw_legs(spark, "/root/testdata/sf0.001").withColumn("part", F.spark_partition_id())
+    parts = legs.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("FlightDate").alias("days")).collect()
+    assert sum(r["n"] for r in parts) == 1000
+    assert max(r["n"] for r in parts) <= 40 and max(r["days"] for r in parts) <= 3
