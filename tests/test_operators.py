@@ -323,6 +323,33 @@ def test_neighbour_queries_are_sent_to_blocks_not_to_leaves(spark, monkeypatch):
     assert sum(sent) < 100 * 10  # of 90 leaves only those of the first visit stand alone
 
 
+def test_order_windows_need_no_shuffle_after_their_join(spark):
+    df = spark.createDataFrame([(1, None, 5, 0), (2, None, 5, 1), (3, "a", None, 2), (4, "a", None, 3), (5, "a", 1, 4)], "id int, k string, c int, o int")
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {name: spark.conf.get(name) for name in plain}
+    for name, value in plain.items():
+        spark.conf.set(name, value)
+    try:
+        placed = ranking.positions(df, ["k"], [F.col("c")], ["o"], "p")
+        linked = ranking.previous_row(df, "k", F.col("c"), ["o"], ["id"], "prev")
+        for found in (placed, linked):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            above = plan[plan.index("Window"):plan.index("SortMergeJoin")]
+            assert "Exchange" not in above
+        assert {r["id"]: r["p"] for r in placed.collect()} == {1: 0, 2: 1, 3: 0, 4: 1, 5: 2}
+        assert {r["id"]: r["prev"] and r["prev"]["id"] for r in linked.collect()} == {1: None, 2: None, 3: 5, 4: 3, 5: None}
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
+def test_rounded_spares_whole_numbers_only(spark):
+    values = [None, -0.0, 3.0, -7.0, 1e300, float("inf"), 0.1234565, -2.5000005, 1e-9]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r["v"] for r in df.select(*base.rounded("v")).collect()]
+    assert str(got) == str([r["v"] for r in df.select(F.round("v", 6).alias("v")).collect()])
+
+
 def test_series_fills_empty_days(spark):
     log = spark.createDataFrame([(1, 2, "2024-01-01 10:00:00"), (1, 3, "2024-01-04 09:00:00"), (2, 1, "2024-01-07 23:00:00")], "src int, dst int, t string")
     log = log.withColumn("datetime", F.col("t").cast("timestamp_ntz"))
