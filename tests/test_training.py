@@ -72,3 +72,16 @@ def test_one_versus_rest_holds_no_second_copy(spark):
     for a, b in zip(ours.models, plain.models):
         np.testing.assert_allclose(a.coefficients.toArray(), b.coefficients.toArray(), atol=1e-9)
     assert ours.transform(rows).select("prediction").collect() == plain.transform(rows).select("prediction").collect()
+
+
+def test_small_dictionaries_leave_the_rows_where_they_are(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(100)], "id int, k string").repartition(7)
+        dictionary = spark.createDataFrame([("k", "a", 0), ("k", "b", 1)], "column string, value string, index int")
+        coded, _ = encode.one_hot_vectors(rows, dictionary, ["k"])
+        parts = coded.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(parts) == 7 and sum(r["n"] for r in parts) == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
