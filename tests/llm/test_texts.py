@@ -409,6 +409,24 @@ def test_lm_base_and_both_ways_of_probing(spark):
     assert all(r["score"] < 0 for r in near)
 
 
+def test_lm_ngrams_travel_packed(spark, monkeypatch):
+    """A row per n-gram, and per chunk and block, grew with the square of the texts."""
+    rng = random.Random(5)
+    data = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(90))), None, None, 0) for i in range(120)]
+    df = table(spark, data).coalesce(2)
+    counted = df.select("text").mapInArrow(lm_score.count_batches(64), "part int, kind byte, hashes binary, counts binary")
+    assert counted.count() <= df.rdd.getNumPartitions() * (2 * 64 // lm_score.GROUP_BLOCKS + 1)
+    one = lm_score.lm_scores(df, held_out()).orderBy("doc_id").collect()
+    for name, value in (("BLOCK_BYTES", 600), ("GROUP_BLOCKS", 3), ("ASK_CHUNK", 500), ("PROBE_CHUNK", 200)):
+        monkeypatch.setattr(lm_score, name, value)
+    near = lm_score.lm_scores(df, held_out()).orderBy("doc_id").collect()
+    far = lm_score.lm_scores(df, held_out(), broadcast_model=0).orderBy("doc_id").collect()
+    for a, b, c in zip(one, near, far, strict=True):
+        assert (a["doc_id"], a["n_tokens"], a["n_known"]) == (b["doc_id"], b["n_tokens"], b["n_known"]) == (c["doc_id"], c["n_tokens"], c["n_known"])
+        assert a["base_score"] == pytest.approx(b["base_score"]) and b["base_score"] == pytest.approx(c["base_score"])
+        assert b["score"] == pytest.approx(c["score"])  # filters of blocks of another size err elsewhere
+
+
 def test_lm_prefers_its_own_language(spark):
     rng = random.Random(2)
     data = [(3 * i + 1, " ".join(["red", "green", "blue", "black"][k % 4] for k in range(40)), None, None, 0) for i in range(50)]
