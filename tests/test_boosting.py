@@ -119,6 +119,26 @@ def test_all_rounds_sampling_and_unseen_classes(spark):
     assert {r["prediction"] for r in flat.transform(table(spark, same)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("name", ["xgboost", "hist_gradient_boosting"])
+def test_rows_of_one_partition_need_no_job_per_round(spark, monkeypatch, name):
+    """400 rounds were some 3,000 jobs, which did not end on 0.1 GB."""
+    rows = sample(300, 6)
+    df = table(spark, rows)
+
+    def fit(group):
+        spark.sparkContext.setJobGroup(group, "fit")
+        model = models.with_weights(models.make_model(name, maxIter=12, maxDepth=3, columnRate=0.75), "weight").fit(df)
+        return model, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    one, few = fit(f"{name} in one job")
+    assert one.n_rounds == 12 and few < 24
+    monkeypatch.setattr(boosting, "PARTITION_BYTES", 4000)
+    jobs, many = fit(f"{name} in jobs")
+    assert jobs.n_rounds == 12 and many > few
+    np.testing.assert_allclose(one.errors, jobs.errors, atol=1e-9)
+    np.testing.assert_allclose(loss_of(one, rows, spark)[1], loss_of(jobs, rows, spark)[1], atol=1e-9)
+
+
 def test_boosted_model_is_stored(spark, tmp_path):
     rows = sample(120, 5)
     model = models.make_model("xgboost", maxIter=3, maxDepth=2).fit(table(spark, rows))
